@@ -107,8 +107,10 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     The position in a run is found minute by minute, so a user with very many events does not
     end up in one task.
     """
-    events = read(spark, sf_dir, "events").withColumn(
-        "_minute", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000)
+    events = (
+        read(spark, sf_dir, "events")
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+        .withColumn("_minute", F.date_trunc("minute", "ts"))
     )
     offsets = bucket_offsets(events, "_minute", ("user_id",)).drop("bucket_rows")
     inside = Window.partitionBy("user_id", "_minute").orderBy("ts", "event_id")

@@ -30,9 +30,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
+    path = fresh_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives executor
     loss, and lets later passes read only the columns they need."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    path = write_table(df, name, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
