@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
-from pairprep.functions.text import normalize_newlines, strip, text_or_empty, word_count
+from pairprep.functions.text import has_words, normalize_newlines, strip, text_or_empty
 
 
 def in_stoplist(message: Column | str, bad_exact: Iterable[str] | None = None) -> Column:
@@ -22,7 +22,7 @@ def too_few_chars(message: Column | str, min_chars: int = C.MIN_MESSAGE_CHARS) -
 
 
 def too_few_words(message: Column | str, min_words: int = C.MIN_MESSAGE_WORDS) -> Column:
-    return word_count(message) < min_words
+    return ~has_words(message, min_words)
 
 
 def is_reference_only(message: Column | str) -> Column:
@@ -38,9 +38,12 @@ def is_bad_message(
     min_chars: int = C.MIN_MESSAGE_CHARS,
     min_words: int = C.MIN_MESSAGE_WORDS,
     bad_exact: Iterable[str] | None = None,
+    normalized: bool = False,
 ) -> Column:
     """True when the stripped message breaks any rule; the cheap rules come first."""
-    m = strip(text_or_empty(message))
+    m = text_or_empty(message)
+    if not normalized:
+        m = strip(m)
     return (
         (m == "")
         | in_stoplist(m, bad_exact)
@@ -75,7 +78,7 @@ def keep_pair(
     if not normalized:
         d, m = normalize_newlines(d), normalize_newlines(m)
     return diff_length_ok(d, min_diff_chars, max_diff_chars) & ~is_bad_message(
-        m, min_msg_chars, min_msg_words, bad_exact
+        m, min_msg_chars, min_msg_words, bad_exact, normalized=True
     )
 
 
@@ -87,10 +90,13 @@ def reject_reason(
     min_msg_chars: int = C.MIN_MESSAGE_CHARS,
     min_msg_words: int = C.MIN_MESSAGE_WORDS,
     bad_exact: Iterable[str] | None = None,
+    normalized: bool = False,
 ) -> Column:
     """Name of the first rule that fails, in filter order; null when the pair is kept."""
-    d = normalize_newlines(text_or_empty(diff))
-    m = normalize_newlines(text_or_empty(message))
+    d = text_or_empty(diff)
+    m = text_or_empty(message)
+    if not normalized:
+        d, m = normalize_newlines(d), normalize_newlines(m)
     return (
         F.when(F.length(d) < min_diff_chars, "diff_short")
         .when(F.length(d) > max_diff_chars, "diff_long")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pairprep import constants as C
 
 _SPACES = r"[" + C.WS + r"]"
-_WORD = r"[^" + C.WS + r"]+"
+_WORD_CHAR = r"[^" + C.WS + r"]"
 _TOKEN = r"\p{L}+|\p{N}|" + _SPACES + r"+|[^\p{L}\p{N}" + C.WS + r"]+"
 
 
@@ -46,12 +46,23 @@ def diff_signals(col: Column | str) -> Column:
 
 def word_count(col: Column | str) -> Column:
     """Number of maximal runs of non-whitespace."""
-    return F.regexp_count(text_or_empty(col), F.lit(_WORD))
+    text = strip(text_or_empty(col))
+    return F.when(text == "", 0).otherwise(F.size(F.split(text, _SPACES + "+")))
+
+
+def has_words(col: Column | str, n: int) -> Column:
+    """At least n words. Stops at the n-th word instead of cutting the whole text up."""
+    if n <= 0:
+        return F.lit(True)
+    if n > 1000:
+        return word_count(col) >= n
+    spaced = _WORD_CHAR + "++" + _SPACES + "++"
+    return text_or_empty(col).rlike(rf"\A{_SPACES}*+(?:{spaced}){{{n - 1}}}{_WORD_CHAR}")
 
 
 def looks_like_message(col: Column | str) -> Column:
     text = text_or_empty(col)
-    return (text != "") & ~looks_like_diff(text) & (word_count(text) <= C.MAX_MESSAGE_LIKE_WORDS)
+    return (text != "") & ~looks_like_diff(text) & ~has_words(text, C.MAX_MESSAGE_LIKE_WORDS + 1)
 
 
 def preview(col: Column | str, n: int = C.PREVIEW_CHARS) -> Column:

@@ -11,10 +11,15 @@ from pairprep.functions.text import normalize_newlines, text_or_empty
 
 
 def preprocess_pair(df: DataFrame, diff: str = C.DIFF, message: str = C.MESSAGE) -> DataFrame:
-    """Both pair columns normalised, missing text read as empty, other columns untouched."""
-    return df.withColumns(
-        {c: normalize_newlines(text_or_empty(c)) for c in dict.fromkeys((diff, message))}
-    )
+    """Both pair columns normalised, missing text read as empty, other columns untouched.
+
+    The two texts are produced through a one-element `inline`. A plain projection would be merged
+    into whatever filter follows and normalise each text once per rule.
+    """
+    texts = dict.fromkeys((diff, message))
+    fresh = F.struct(*[normalize_newlines(text_or_empty(c)).alias(c) for c in texts])
+    others = [c for c in df.columns if c not in texts]
+    return df.select(*others, F.inline(F.array(fresh))).select(*df.columns)
 
 
 def clean_pairs(
@@ -37,9 +42,11 @@ def retention_report(
     **thresholds,
 ) -> DataFrame:
     """Pairs before and after cleaning and the percentage kept, in one pass over the raw table."""
-    counted = df.groupBy(split).agg(
-        F.count("*").alias("before"),
-        F.count_if(keep_pair(diff, message, **thresholds)).alias("after"),
+    keep = keep_pair(diff, message, normalized=True, **thresholds)
+    counted = (
+        preprocess_pair(df.select(split, diff, message), diff, message)
+        .groupBy(split)
+        .agg(F.count("*").alias("before"), F.count_if(keep).alias("after"))
     )
     return counted.withColumn(
         "kept_pct", F.when(F.col("before") > 0, 100.0 * F.col("after") / F.col("before")).otherwise(0.0)

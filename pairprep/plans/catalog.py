@@ -39,7 +39,7 @@ def _rows_csv(col: str) -> Column:
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = views.clean(spark, sf_dir).where(F.col(C.SPLIT) == "train")
-    return build_vocab(train, VOCAB_SIZE, C.DIFF, C.MESSAGE)
+    return scratch.stage(build_vocab(train, VOCAB_SIZE, C.DIFF, C.MESSAGE), "vocabulary")
 
 
 def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,10 +62,6 @@ def _on(table: Query, columns_of: Callable[[], dict[str, Column]], key: str = C.
     return query
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.read(spark, sf_dir, "documents")
-
-
 def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.preprocess_pair(views.pairs(spark, sf_dir))
 
@@ -194,7 +190,7 @@ def sample_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cap_splits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cap_splits(views.clean(spark, sf_dir), CAPS)
+    return cap_splits(scratch.stage(views.clean(spark, sf_dir), "cleaned"), CAPS)
 
 
 def get_splits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +206,7 @@ def eval_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    docs = views.documents(spark, sf_dir)
     coded = encode(docs, _vocab(spark, sf_dir), "text", max_length=None, key="doc_id")
     return coded.select("doc_id", _csv("ids").alias("ids"))
 
@@ -332,7 +328,7 @@ def render_chat_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_pairs_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.fresh_path(spark, "cleaned-stream")
-    schema = _documents(spark, sf_dir).schema
+    schema = views.read(spark, sf_dir, "documents").schema
     # A glob, since a streaming source takes a plain path for a folder and the table may be one file.
     documents = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{documents.parquet}}")
     cleaned = clean_pairs_stream(views.pairs_of(documents))
@@ -361,21 +357,24 @@ def queries() -> dict[str, Query]:
         "looks_like_diff": _on(views.pairs, lambda: dict(diff_is_diff=text.looks_like_diff(diff), message_is_diff=text.looks_like_diff(message))),
         "diff_signals": diff_signals,
         "looks_like_message": _on(views.pairs, lambda: dict(diff_is_message=text.looks_like_message(diff), message_is_message=text.looks_like_message(message))),
-        "word_count": _on(_documents, lambda: dict(n_words=text.word_count("text")), "doc_id"),
-        "preview": _on(_documents, lambda: dict(preview=text.preview("text")), "doc_id"),
+        "word_count": _on(views.documents, lambda: dict(n_words=text.word_count("text")), "doc_id"),
+        "preview": _on(views.documents, lambda: dict(preview=text.preview("text")), "doc_id"),
         "build_prompt": _on(views.clean, lambda: dict(prompt=text.build_prompt(diff))),
         "build_training_text": _on(views.clean, lambda: dict(text=text.build_training_text(diff, message))),
         "extract_completion": extract_completion,
         "strip_special_tokens": strip_special_tokens,
-        "is_bad_message": _on(_normalized, lambda: dict(is_bad=rules.is_bad_message(message))),
-        "reject_reason": _on(views.pairs, lambda: dict(split=F.col(C.SPLIT), reason=rules.reject_reason(diff, message))),
+        "is_bad_message": _on(_normalized, lambda: dict(is_bad=rules.is_bad_message(message, normalized=True))),
+        "reject_reason": _on(
+            _normalized,
+            lambda: dict(split=F.col(C.SPLIT), reason=rules.reject_reason(diff, message, normalized=True)),
+        ),
         "in_stoplist": _on(_normalized, lambda: dict(hit=rules.in_stoplist(message))),
         "too_few_chars": _on(_normalized, lambda: dict(hit=rules.too_few_chars(message))),
         "too_few_words": _on(_normalized, lambda: dict(hit=rules.too_few_words(message))),
         "is_reference_only": _on(_normalized, lambda: dict(hit=rules.is_reference_only(message))),
         "has_placeholder": _on(_normalized, lambda: dict(hit=rules.has_placeholder(message))),
         "diff_length_ok": _on(_normalized, lambda: dict(hit=rules.diff_length_ok(diff))),
-        "keep_pair": _on(views.pairs, lambda: dict(hit=rules.keep_pair(diff, message))),
+        "keep_pair": _on(_normalized, lambda: dict(hit=rules.keep_pair(diff, message, normalized=True))),
         "clean_pairs": clean_pairs,
         "has_target": _on(_tokenized, lambda: dict(has_target=tokens.has_target("labels"))),
         "has_input": has_input,
@@ -390,8 +389,8 @@ def queries() -> dict[str, Query]:
         "cap_splits": cap_splits_query,
         "get_splits": get_splits_query,
         "eval_sample": eval_sample_query,
-        "split_tokens": _on(_documents, lambda: dict(n_tokens=F.size(text.split_tokens("text")).cast("long"), tokens=F.array_join(text.split_tokens("text"), "|")), "doc_id"),
-        "truncate": _on(_documents, lambda: dict(tokens=F.array_join(tokens.truncate(text.split_tokens("text")), "|")), "doc_id"),
+        "split_tokens": _on(views.documents, lambda: dict(n_tokens=F.size(text.split_tokens("text")).cast("long"), tokens=F.array_join(text.split_tokens("text"), "|")), "doc_id"),
+        "truncate": _on(views.documents, lambda: dict(tokens=F.array_join(tokens.truncate(text.split_tokens("text")), "|")), "doc_id"),
         "build_vocab": _vocab,
         "encode": encode_query,
         "decode": decode_query,

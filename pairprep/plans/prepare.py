@@ -73,7 +73,7 @@ def load_or_tokenize(
         return cached
     kept = stage(get_splits(df, caps, seed, **thresholds), "capped", (C.SPLIT,))
     assert_nonempty(kept)
-    vocab = build_vocab(as_splits(kept).train, vocab_size, C.DIFF, C.MESSAGE)
+    vocab = stage(build_vocab(as_splits(kept).train, vocab_size, C.DIFF, C.MESSAGE), "vocabulary")
     save_token_cache(
         tokenize_pairs(kept, vocab, separator=separator, max_length=max_length), cache, digest
     )

@@ -9,6 +9,7 @@ from pairprep import constants as C
 from pairprep.functions.text import build_prompt, word_count
 from pairprep.operators.cleaning import clean_pairs
 from pairprep.operators.ranking import bucket_offsets
+from pairprep.sources.pairs import spread
 
 HEADER = "diff --git a/f b/f"
 
@@ -74,13 +75,17 @@ def _split() -> Column:
     return F.when(part < 8, "train").when(part == 8, "validation").otherwise("test")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs_of(read(spark, sf_dir, "documents"))
+    return pairs_of(documents(spark, sf_dir))
 
 
-def pairs_of(documents: DataFrame) -> DataFrame:
+def pairs_of(texts: DataFrame) -> DataFrame:
     """One pair per document, batch or streaming; the shapes mix all rules."""
-    return documents.select(
+    return texts.select(
         F.col("doc_id").alias(C.KEY),
         _diff().alias(C.DIFF),
         _message().alias(C.MESSAGE),
@@ -96,7 +101,7 @@ def texts_with_specials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with one of the added tokens inside and at its end."""
     tokens = F.array(*[F.lit(t) for t, _, _ in C.SPECIAL_TOKENS])
     token = F.element_at(tokens, (F.col("doc_id") % len(C.SPECIAL_TOKENS) + 1).cast("int"))
-    return read(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", F.concat(token, F.col("text"), token).alias("text")
     )
 

@@ -1,4 +1,4 @@
-"""Where intermediate tables go: the shared folder that the cluster names."""
+"""Intermediate tables, in the shared folder that the cluster names."""
 
 from __future__ import annotations
 
