@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairprep.functions.text import as_column
 
-_EXACT_BELOW = 1e11
+_LONG_BELOW = 9e18
 
 
 def perplexity(loss: Column | str) -> Column:
@@ -19,30 +19,34 @@ def fixed4(value: Column | str) -> Column:
     """Four decimals, rounded on the exact binary value with ties to even.
 
     Java's formatters round the shortest decimal form instead, so 2.00005 or 1.03125 would
-    come out one unit higher. x * 10000 is split into a rounded product and its exact error.
+    come out one unit higher. The fraction times 10000 is split into a rounded product and its
+    exact error.
     """
     x = as_column(value)
     size = F.abs(x)
-    product = size * F.lit(10000.0)
-    scaled = size * F.lit(134217729.0)
-    high = scaled - (scaled - size)
-    error = (high * F.lit(10000.0) - product) + (size - high) * F.lit(10000.0)
-    whole = F.floor(product)
-    over_half = (product - whole) - F.lit(0.5)
-    up = (over_half > 0) | ((over_half == 0) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
-    units = whole + F.when(up, 1).otherwise(0)
+    whole = F.floor(size)
+    part = size - whole
+    product = part * F.lit(10000.0)
+    scaled = part * F.lit(134217729.0)
+    high = scaled - (scaled - part)
+    error = (high * F.lit(10000.0) - product) + (part - high) * F.lit(10000.0)
+    below = F.floor(product)
+    over_half = (product - below) - F.lit(0.5)
+    up = (over_half > 0) | ((over_half == 0) & ((error > 0) | ((error == 0) & (below % 2 == 1))))
+    units = below + F.when(up, 1).otherwise(0)
     negative = F.format_string("%.1f", x).startswith("-")
     exact = F.concat(
         F.when(negative, "-").otherwise(""),
-        F.floor(units / 10000).cast("string"),
+        (whole + F.floor(units / 10000)).cast("string"),
         F.lit("."),
         F.lpad((units % 10000).cast("string"), 4, "0"),
     )
     return (
-        F.when(F.isnan(x), "nan")
+        F.when(x.isNull(), F.lit(None).cast("string"))
+        .when(F.isnan(x), "nan")
         .when(x == float("inf"), "inf")
         .when(x == float("-inf"), "-inf")
-        .when(size < _EXACT_BELOW, exact)
+        .when(size < _LONG_BELOW, exact)
         .otherwise(F.format_string("%.4f", x))
     )
 

@@ -22,16 +22,17 @@ from pairprep.functions.tokens import truncate
 BROADCAST_ROWS = 500_000
 
 
-def token_counts(df: DataFrame, *texts: str) -> DataFrame:
+def token_counts(df: DataFrame, *texts: Column | str) -> DataFrame:
     """Occurrences of every token in the given text columns, combined before the shuffle."""
     lists = F.concat(*[split_tokens(t) for t in texts])
     return df.select(F.explode(lists).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
-def build_vocab(df: DataFrame, size: int, *texts: str) -> DataFrame:
+def build_vocab(df: DataFrame, size: int, *texts: Column | str) -> DataFrame:
     """(token, id) of the `size` most frequent tokens, ties in token order, and the reserved ids.
 
-    Only the `size` rows that survive the top-k are numbered together.
+    Learn it on whole training texts, separator included, or decoding loses the separator. Only
+    the `size` rows that survive the top-k are numbered together.
     """
     top = token_counts(df, *texts).orderBy(F.desc("n"), F.asc("token")).limit(size)
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), F.asc("token"))

@@ -39,7 +39,8 @@ def _rows_csv(col: str) -> Column:
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = views.clean(spark, sf_dir).where(F.col(C.SPLIT) == "train")
-    return scratch.stage(build_vocab(train, VOCAB_SIZE, C.DIFF, C.MESSAGE), "vocabulary")
+    whole = text.build_training_text(C.DIFF, C.MESSAGE, eos="")
+    return scratch.stage(build_vocab(train, VOCAB_SIZE, whole), "vocabulary")
 
 
 def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,7 +112,7 @@ capped AS (
 VOCAB = f"""
 counted AS (
   SELECT token, count(*) AS n FROM (
-    SELECT unnest(list_concat({tokens("diff")}, {tokens("message")})) AS token
+    SELECT unnest({tokens(f"diff || {SEP} || message")}) AS token
     FROM clean WHERE split = 'train')
   GROUP BY token),
 vocab AS (

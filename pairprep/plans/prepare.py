@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
+from pairprep.functions.text import build_training_text
 from pairprep.operators.cleaning import assert_nonempty, clean_pairs
 from pairprep.operators.sampling import cap_splits
 from pairprep.operators.tokenizing import tokenize_pairs
@@ -73,7 +74,8 @@ def load_or_tokenize(
         return cached
     kept = stage(get_splits(df, caps, seed, **thresholds), "capped", (C.SPLIT,))
     assert_nonempty(kept)
-    vocab = stage(build_vocab(as_splits(kept).train, vocab_size, C.DIFF, C.MESSAGE), "vocabulary")
+    whole = build_training_text(C.DIFF, C.MESSAGE, separator, "")
+    vocab = stage(build_vocab(as_splits(kept).train, vocab_size, whole), "vocabulary")
     save_token_cache(
         tokenize_pairs(kept, vocab, separator=separator, max_length=max_length), cache, digest
     )

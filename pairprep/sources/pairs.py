@@ -42,7 +42,7 @@ def split_inventory(df: DataFrame, split: str = C.SPLIT) -> DataFrame:
 
 
 def read_patches(spark: SparkSession, path: str) -> DataFrame:
-    """One row per diff file below a folder (path, diff), decoded as UTF-8."""
+    """One row per diff file below a folder (path, diff), decoded as UTF-8; an empty file has none."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(path, wholetext=True)

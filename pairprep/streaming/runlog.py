@@ -47,6 +47,8 @@ def early_stop_stream(
 
         if state.exists:
             best, best_step, previous, counter, last, stop, late, version = state.get
+            # pandas hands a NaN over as null; a stored best is never missing otherwise.
+            best = np.nan if best is None else best
         else:
             best = best_step = previous = last = stop = None
             counter = late = version = 0
@@ -92,9 +94,10 @@ def early_stop_stream(
         (value if lower_is_better else -value).alias("_value"),
     ).where(F.col("_value").isNotNull())
     run_type = sdf.schema[run].dataType.simpleString()
-    return rows.groupBy(run).applyInPandasWithState(
+    states = rows.groupBy(run).applyInPandasWithState(
         advance, _OUTPUT.format(run=run, run_type=run_type), _STATE, "update", "NoTimeout"
     )
+    return states.withColumn("best_value", F.coalesce("best_value", F.lit(float("nan"))))
 
 
 def write_stop_stream(states: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
