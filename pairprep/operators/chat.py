@@ -22,14 +22,17 @@ def chat_pieces(
 ) -> DataFrame:
     """(conversation, chunk, turn, piece): what each message adds to its conversation's text.
 
-    A message needs the roles next to it. They are looked up inside a chunk of the conversation;
-    across chunks they come from a row per chunk, so one huge conversation spreads over tasks.
+    A message needs to know whether those next to it are tool turns. That is looked up inside a
+    chunk of the conversation; across chunks it comes from a row per chunk, so one huge
+    conversation spreads over tasks.
     """
     messages = df.select(
         conv, turn, text_or_empty("role").alias("role"), text_or_empty("text").alias("text")
-    ).withColumn("_chunk", F.floor(F.col(turn) / chunk_turns))
+    ).withColumns(
+        {"_chunk": F.floor(F.col(turn) / chunk_turns), "_tool": (F.col("role") == "tool").cast("int")}
+    )
     edges = messages.groupBy(conv, "_chunk").agg(
-        F.min_by("role", turn).alias("_opens"), F.max_by("role", turn).alias("_closes")
+        F.min_by("_tool", turn).alias("_opens"), F.max_by("_tool", turn).alias("_closes")
     )
     across = Window.partitionBy(conv).orderBy("_chunk")
     edges = edges.select(
@@ -40,7 +43,7 @@ def chat_pieces(
     )
     inside = Window.partitionBy(conv, "_chunk").orderBy(turn)
     placed = messages.withColumns(
-        {"_prev": F.lag("role").over(inside), "_next": F.lead("role").over(inside)}
+        {"_prev": F.lag("_tool").over(inside), "_next": F.lead("_tool").over(inside)}
     ).join(edges, [conv, "_chunk"])
     previous = F.coalesce("_prev", "_before")
     following = F.coalesce("_next", "_after")
@@ -49,11 +52,11 @@ def chat_pieces(
         previous.isNull() & (role != "system"), _block("system", C.DEFAULT_SYSTEM)
     ).otherwise("")
     tool = F.concat(
-        F.when(previous.isNull() | (previous != "tool"), C.TURN_START + "user").otherwise(""),
+        F.when(F.coalesce(previous, F.lit(0)) == 0, C.TURN_START + "user").otherwise(""),
         F.lit("\n<tool_response>\n"),
         F.col("text"),
         F.lit("\n</tool_response>"),
-        F.when(following.isNull() | (following != "tool"), C.TURN_END + "\n").otherwise(""),
+        F.when(F.coalesce(following, F.lit(0)) == 0, C.TURN_END + "\n").otherwise(""),
     )
     body = (
         F.when(role.isin("user", "assistant", "system"), _block(role, F.col("text")))

@@ -18,7 +18,7 @@ from pairprep.plans.prepare import get_splits
 from pairprep.sources import pairs as pair_source
 from pairprep.sources import predictions, scratch, token_cache
 from pairprep.streaming.cleaning import clean_pairs_stream, write_pairs_stream
-from pairprep.streaming.runlog import early_stop_stream, latest_states, write_stop_stream
+from pairprep.streaming.runlog import early_stop_stream, latest_states
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -341,8 +341,8 @@ def early_stop_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.fresh_path(spark, "stops-stream")
     log = views.run_log(spark, sf_dir).select("run_id", "step", "eval_loss")
     stream = spark.readStream.schema(log.schema).parquet(scratch.write_table(log, "run-log"))
-    write_stop_stream(early_stop_stream(stream), path, f"{path}-checkpoint").awaitTermination()
-    return latest_states(spark.read.parquet(path)).drop("late_rows")
+    early_stop_stream(stream, path, f"{path}-checkpoint").awaitTermination()
+    return latest_states(spark, path).drop("last_step", "late_rows")
 
 
 def queries() -> dict[str, Query]:

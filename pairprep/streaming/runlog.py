@@ -2,120 +2,105 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
 from pairprep import constants as C
+from pairprep.operators.runlog import CHUNK_STEPS, early_stop
 
-_STATE = (
-    "best double, best_step long, previous double, counter int, last_step long, "
-    "stop_step long, dropped long, version long"
-)
-_OUTPUT = (
-    "{run} {run_type}, best_value double, best_step long, previous_best double, counter int, "
-    "stop_step long, late_rows long, version long"
-)
+_RESULT = ("best_value", "best_step", "previous_best", "counter", "stop_step")
 
 
-def early_stop_stream(
-    sdf: DataFrame,
+def advance_stops(
+    state: DataFrame | None,
+    batch: DataFrame,
     patience: int = C.PATIENCE,
     threshold: float = 0.0,
     metric: str = "eval_loss",
     lower_is_better: bool = True,
     run: str = "run_id",
     step: str = "step",
+    chunk_steps: int = CHUNK_STEPS,
 ) -> DataFrame:
-    """The state of `early_stop` after every trigger that brought rows for a run (update mode).
+    """State of every run after one more batch of evaluations.
 
-    Evaluations are taken in step order. A row at or before the last step of its run is late: it
-    is not used, and late_rows counts it. A run keeps its few numbers of state for good, since it
-    must go on ignoring rows after its stop. Only step and value reach Python, and no more of a
-    run at a time than one trigger admits (maxFilesPerTrigger / maxBytesPerTrigger).
+    One row per run: what `early_stop` returns, last_step, and late_rows, the count of rows that
+    came at or before the last step of their run and were not used. An open run is continued by
+    putting its best value in front of the new rows, followed by as many copies as evaluations
+    have passed without improvement: the batch operator then ends up where a replay of the whole
+    run would, and spreads a run with very many new rows in the same way.
     """
+    rows = batch.select(
+        run, F.col(step).cast("long").alias("step"), F.col(metric).cast("double").alias("value")
+    ).where(F.col("value").isNotNull())
 
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        import numpy as np
-        import pandas as pd
-
-        if state.exists:
-            best, best_step, previous, counter, last, stop, late, version = state.get
-            # pandas hands a NaN over as null; a stored best is never missing otherwise.
-            best = np.nan if best is None else best
-        else:
-            best = best_step = previous = last = stop = None
-            counter = late = version = 0
-        rows = pd.concat(list(batches))
-        steps = rows["_step"].to_numpy(dtype=np.int64)
-        values = rows["_value"].to_numpy(dtype=np.float64)
-        for i in np.lexsort((values, steps)):
-            at, value = int(steps[i]), float(values[i])
-            if last is not None and at <= last:
-                late += 1
-                continue
-            last = at
-            if stop is not None:
-                continue
-            if best is None:
-                best, best_step = value, at
-            elif value < best - threshold:
-                previous, best, best_step, counter = best, value, at, 0
-            else:
-                counter += 1
-                if counter >= patience:
-                    stop = at
-        version += 1
-        state.update((best, best_step, previous, counter, last, stop, late, version))
-        sign = 1.0 if lower_is_better else -1.0
-        yield pd.DataFrame(
-            {
-                run: [key[0]],
-                "best_value": [sign * best],
-                "best_step": [best_step],
-                "previous_best": pd.array([None if previous is None else sign * previous], "Float64"),
-                "counter": [counter],
-                "stop_step": pd.array([stop], "Int64"),
-                "late_rows": [late],
-                "version": [version],
-            }
+    def stops(log: DataFrame) -> DataFrame:
+        return early_stop(
+            log, patience, threshold, "value", lower_is_better, run, "step", chunk_steps
         )
 
-    value = F.col(metric).cast("double")
-    rows = sdf.select(
-        run,
-        F.col(step).cast("long").alias("_step"),
-        (value if lower_is_better else -value).alias("_value"),
-    ).where(F.col("_value").isNotNull())
-    run_type = sdf.schema[run].dataType.simpleString()
-    states = rows.groupBy(run).applyInPandasWithState(
-        advance, _OUTPUT.format(run=run, run_type=run_type), _STATE, "update", "NoTimeout"
+    if state is None:
+        last = rows.groupBy(run).agg(F.max("step").alias("last_step"))
+        return stops(rows).join(last, run).withColumn("late_rows", F.lit(0).cast("long"))
+
+    # Known runs meet their rows chunk by chunk, so that no run's rows meet in one task.
+    rows = rows.withColumn("_chunk", F.floor(F.col("step") / chunk_steps))
+    known = state.select(
+        run, F.col("last_step").alias("_last"), F.col("stop_step").isNotNull().alias("_closed")
+    )
+    chunks = rows.select(run, "_chunk").distinct().join(known, run)
+    placed = rows.join(chunks, [run, "_chunk"], "left").withColumn(
+        "_late", F.coalesce(F.col("step") <= F.col("_last"), F.lit(False))
+    )
+    seen = placed.groupBy(run).agg(
+        F.max("step").alias("_newest"), F.count_if("_late").alias("_late_rows")
     )
-    return states.withColumn("best_value", F.coalesce("best_value", F.lit(float("nan"))))
+    usable = placed.where(~F.col("_late") & ~F.coalesce("_closed", F.lit(False)))
+    open_runs = state.where(F.col("stop_step").isNull()).join(seen, run, "left_semi")
+    replayed = open_runs.select(
+        run, "best_step", "best_value", F.explode(F.sequence(F.lit(0), F.col("counter"))).alias("_i")
+    ).select(run, (F.col("best_step") + F.col("_i")).alias("step"), F.col("best_value").alias("value"))
+    fresh = stops(usable.select(run, "step", "value").unionByName(replayed))
+    fresh = fresh.select(run, *[F.col(c).alias(f"_{c}") for c in _RESULT])
+
+    merged = state.join(fresh, run, "full").join(seen, run, "left")
+    updated = F.col("_best_step").isNotNull()
+    same_best = F.coalesce(F.col("best_step") == F.col("_best_step"), F.lit(False))
+    columns = {c: F.when(updated, F.col(f"_{c}")).otherwise(F.col(c)) for c in _RESULT}
+    columns["previous_best"] = F.when(updated & ~same_best, F.col("_previous_best")).otherwise(
+        F.col("previous_best")
+    )
+    columns["last_step"] = F.greatest("last_step", "_newest")
+    columns["late_rows"] = F.coalesce("late_rows", F.lit(0)) + F.coalesce("_late_rows", F.lit(0))
+    return merged.select(run, *[value.alias(name) for name, value in columns.items()])
 
 
-def write_stop_stream(states: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each trigger's states under its batch number, so a repeated trigger overwrites
-    what it wrote before."""
+def early_stop_stream(
+    sdf: DataFrame, path: str, checkpoint: str, run: str = "run_id", **settings
+) -> StreamingQuery:
+    """Keep the state of every run up to date below `path`, one snapshot a trigger.
+
+    Rows of a run must come in step order from trigger to trigger, in any order inside one. A
+    trigger that is repeated starts from the snapshot before it and overwrites its own, so the
+    result is the same. A run keeps its row for good, since rows after its stop must go on being
+    ignored.
+    """
+    if not sdf.isStreaming:
+        raise ValueError("early_stop_stream needs a streaming table; use early_stop")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        state = spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
+        after = advance_stops(state, batch, run=run, **settings)
+        after.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = states.writeStream.outputMode("update").trigger(availableNow=True)
-    return writer.option("checkpointLocation", checkpoint).foreachBatch(save).start()
+    writer = sdf.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(save).start()
 
 
-def latest_states(updates: DataFrame, run: str = "run_id") -> DataFrame:
-    """Last state of each run among all that were written."""
-    fields = [c for c in updates.columns if c not in (run, "batch", "version")]
-    return (
-        updates.groupBy(run)
-        .agg(F.max_by(F.struct(*fields), "version").alias("s"))
-        .select(run, *[F.col(f"s.{c}").alias(c) for c in fields])
-    )
+def latest_states(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot."""
+    snapshots = spark.read.parquet(path)
+    newest = snapshots.agg(F.max("batch")).first()[0]
+    return snapshots.where(F.col("batch") == newest).drop("batch")

@@ -4,7 +4,7 @@ import pytest
 from pairprep.operators.cleaning import clean_pairs
 from pairprep.operators.runlog import early_stop
 from pairprep.streaming.cleaning import clean_pairs_stream, write_pairs_stream
-from pairprep.streaming.runlog import early_stop_stream, latest_states, write_stop_stream
+from pairprep.streaming.runlog import advance_stops, early_stop_stream, latest_states
 
 LOG = "run_id long, step long, eval_loss double"
 
@@ -36,13 +36,15 @@ def test_stop_stream_equals_batch_over_several_triggers(spark, tmp_path, thresho
         piece = log.where(f"step > {part} * 4000 and step <= {part + 1} * 4000")
         piece.repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(log.schema).parquet(str(tmp_path / "in"))
-        states = early_stop_stream(stream, 4, threshold, lower_is_better=lower)
-        write_stop_stream(states, out, str(tmp_path / "state")).awaitTermination()
-    got = latest_states(spark.read.parquet(out))
+        query = early_stop_stream(
+            stream, out, str(tmp_path / "state"), patience=4, threshold=threshold, lower_is_better=lower, chunk_steps=900
+        )
+        query.awaitTermination()
+    got = latest_states(spark, out)
     assert got.where("late_rows <> 0").count() == 0
     expected = early_stop(log, 4, threshold, lower_is_better=lower)
     key = lambda r: str(tuple(r))
-    assert sorted(map(key, got.drop("late_rows").collect())) == sorted(map(key, expected.collect()))
+    assert sorted(map(key, got.drop("last_step", "late_rows").collect())) == sorted(map(key, expected.collect()))
 
 
 def test_late_rows_are_counted_not_used(spark, tmp_path):
@@ -50,6 +52,20 @@ def test_late_rows_are_counted_not_used(spark, tmp_path):
     for rows in ([(1, 600, 2.0)], [(1, 300, 0.1), (1, 900, 3.0)]):
         spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(LOG).parquet(source)
-        write_stop_stream(early_stop_stream(stream), out, state).awaitTermination()
-    row = latest_states(spark.read.parquet(out)).first()
+        early_stop_stream(stream, out, state).awaitTermination()
+    row = latest_states(spark, out).first()
     assert (row.best_value, row.best_step, row.counter, row.late_rows) == (2.0, 600, 1, 1)
+    with pytest.raises(ValueError):
+        early_stop_stream(spark.createDataFrame([(1, 1, 1.0)], LOG), out, state)
+
+
+def test_repeated_trigger_gives_the_same_state(spark, tmp_path):
+    old = spark.createDataFrame([(1, 300, 2.0), (1, 600, 2.5), (2, 300, 1.0)], LOG)
+    new = spark.createDataFrame([(1, 900, 1.0), (3, 300, 4.0), (2, 600, None)], LOG)
+    state = advance_stops(None, old)
+    rows = {tuple(r) for r in advance_stops(state, new).collect()}
+    assert rows == {
+        (1, 1.0, 900, 2.0, 0, None, 900, 0),
+        (2, 1.0, 300, None, 0, None, 300, 0),
+        (3, 4.0, 300, None, 0, None, 300, 0),
+    }
