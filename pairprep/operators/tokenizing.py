@@ -47,14 +47,15 @@ def tokenize_pairs(
     no target; such rows stay. Key and split are always kept, other columns on request.
     """
     sequence = F.array_append(_pair_tokens(diff, message, separator), F.lit(C.EOS_TOKEN))
-    prepared = df.withColumn("_prompt", split_tokens(build_prompt(diff, separator))).withColumns(
-        {
-            "_tokens": truncate(sequence, max_length),
-            "_prompt_size": F.least(F.size("_prompt"), F.lit(max_length)),
-        }
+    made = F.struct(
+        truncate(sequence, max_length).alias("_tokens"),
+        F.least(F.size("_prompt"), F.lit(max_length)).alias("_prompt_size"),
     )
     kept = df.columns if keep_columns else [c for c in (key, split) if c in df.columns]
-    narrow = prepared.select(*kept, "_tokens", "_prompt_size")
+    # `inline` keeps the texts out of the rows that wait while the lookup runs in Python.
+    narrow = df.withColumn("_prompt", split_tokens(build_prompt(diff, separator))).select(
+        *kept, F.inline(F.array(made))
+    )
     coded = lookup_ids(narrow, vocab, "_tokens", "input_ids", key, broadcast_rows)
     return _with_labels(coded, kept)
 
