@@ -60,9 +60,10 @@ DIFF_LINE_STARTS = {
 # The two file markers also match the changed-line pattern, so one alternation covers all six.
 ANY_DIFF_LINE = r"(?md)^(?:diff --git |@@ |index |[+-])"
 
-# Whole message is only a reference; message has a placeholder
+# Whole message is only a reference; message has a placeholder. The possessive
+# quantifiers match the same texts and keep long lines linear.
 REFERENCE_ONLY = (
-    r"(?iu)\A(?:fixe[sd]?|close[sd]?|resolve[sd]?|refs?)[" + WS + r"]*#?[\p{L}\p{N}_]+[^\n]*\z"
+    r"(?iu)\A(?:fixe[sd]?|close[sd]?|resolve[sd]?|refs?)[" + WS + r"]*#?[\p{L}\p{N}_]++[^\n]*+\z"
 )
 PLACEHOLDER = r"<HASH>|<URL>|#<I>"
 

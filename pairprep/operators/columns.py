@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -53,11 +56,25 @@ def choose_columns(scores: Column | str) -> Column:
     return F.struct(diff.alias("diff_column"), message.alias("message_column"))
 
 
+def _equals(row: Row, names: list[str]) -> Column:
+    return reduce(and_, [F.col(n).eqNullSafe(F.lit(row[n])) for n in names])
+
+
 def first_row(df: DataFrame, key: str = C.KEY, split: str = C.SPLIT) -> DataFrame:
-    """First row of train by key, else of the first split by name: a top-1, not a sort."""
+    """First row of train by key, else of the first split by name.
+
+    The row is found on key and split alone and then fetched by its values, which parquet uses to
+    skip all row groups but one; a top-1 over whole rows would read every text.
+    """
     if split in df.columns:
-        return df.orderBy((F.col(split) != "train").cast("int"), split, key).limit(1)
-    return df.orderBy(key).limit(1)
+        place = [split, key]
+        order = [(F.col(split) != "train").cast("int"), F.col(split), F.col(key)]
+    else:
+        place, order = [key], [F.col(key)]
+    found = df.select(*place).orderBy(*order).limit(1).first()
+    if found is None:
+        return df.limit(0)
+    return df.where(_equals(found, place)).limit(1)
 
 
 def inferred_columns(df: DataFrame, key: str = C.KEY, split: str = C.SPLIT) -> DataFrame:

@@ -28,7 +28,7 @@ SAMPLED = 20
 THIN_EVERY = 900
 
 
-def _csv(col: str) -> Column:
+def _csv(col: Column | str) -> Column:
     return F.array_join(F.transform(col, lambda x: x.cast("string")), ",")
 
 
@@ -63,6 +63,10 @@ def _on(table: Query, columns_of: Callable[[], dict[str, Column]], key: str = C.
     return query
 
 
+def _on_both_texts(function: Callable[[str], Column], name: str) -> Query:
+    return _on(views.pairs, lambda: {name.format(c): function(c) for c in (C.DIFF, C.MESSAGE)})
+
+
 def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.preprocess_pair(views.pairs(spark, sf_dir))
 
@@ -206,6 +210,26 @@ def eval_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # token arrays
 
 
+def split_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = views.documents(spark, sf_dir).withColumn("t", text.split_tokens("text"))
+    return cut.select(
+        "doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", "|").alias("tokens")
+    )
+
+
+def truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = tokens.truncate(text.split_tokens("text"))
+    return views.documents(spark, sf_dir).select("doc_id", F.array_join(first, "|").alias("tokens"))
+
+
+def target_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tokenized(spark, sf_dir).select(
+        C.KEY,
+        _csv(tokens.prompt_ids("input_ids", "labels")).alias("prompt_ids"),
+        _csv(tokens.target_ids("labels")).alias("target_ids"),
+    )
+
+
 def encode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = views.documents(spark, sf_dir)
     coded = encode(docs, _vocab(spark, sf_dir), "text", max_length=None, key="doc_id")
@@ -353,18 +377,22 @@ def queries() -> dict[str, Query]:
         "token_cache": token_cache_query,
         "predictions_json": predictions_json,
         "predictions_text": predictions_text,
-        "normalize_newlines": _on(views.pairs, lambda: dict(diff=text.normalize_newlines(diff), message=text.normalize_newlines(message))),
+        "normalize_newlines": _on_both_texts(text.normalize_newlines, "{}"),
         "preprocess_pair": _normalized,
-        "looks_like_diff": _on(views.pairs, lambda: dict(diff_is_diff=text.looks_like_diff(diff), message_is_diff=text.looks_like_diff(message))),
+        "looks_like_diff": _on_both_texts(text.looks_like_diff, "{}_is_diff"),
         "diff_signals": diff_signals,
-        "looks_like_message": _on(views.pairs, lambda: dict(diff_is_message=text.looks_like_message(diff), message_is_message=text.looks_like_message(message))),
+        "looks_like_message": _on_both_texts(text.looks_like_message, "{}_is_message"),
         "word_count": _on(views.documents, lambda: dict(n_words=text.word_count("text")), "doc_id"),
         "preview": _on(views.documents, lambda: dict(preview=text.preview("text")), "doc_id"),
         "build_prompt": _on(views.clean, lambda: dict(prompt=text.build_prompt(diff))),
-        "build_training_text": _on(views.clean, lambda: dict(text=text.build_training_text(diff, message))),
+        "build_training_text": _on(
+            views.clean, lambda: dict(text=text.build_training_text(diff, message))
+        ),
         "extract_completion": extract_completion,
         "strip_special_tokens": strip_special_tokens,
-        "is_bad_message": _on(_normalized, lambda: dict(is_bad=rules.is_bad_message(message, normalized=True))),
+        "is_bad_message": _on(
+            _normalized, lambda: dict(is_bad=rules.is_bad_message(message, normalized=True))
+        ),
         "reject_reason": _on(
             _normalized,
             lambda: dict(split=F.col(C.SPLIT), reason=rules.reject_reason(diff, message, normalized=True)),
@@ -390,15 +418,15 @@ def queries() -> dict[str, Query]:
         "cap_splits": cap_splits_query,
         "get_splits": get_splits_query,
         "eval_sample": eval_sample_query,
-        "split_tokens": _on(views.documents, lambda: dict(n_tokens=F.size(text.split_tokens("text")).cast("long"), tokens=F.array_join(text.split_tokens("text"), "|")), "doc_id"),
-        "truncate": _on(views.documents, lambda: dict(tokens=F.array_join(tokens.truncate(text.split_tokens("text")), "|")), "doc_id"),
+        "split_tokens": split_tokens,
+        "truncate": truncate,
         "build_vocab": _vocab,
         "encode": encode_query,
         "decode": decode_query,
         "attention_mask": _on(_tokenized, lambda: dict(attention_mask=_csv("attention_mask"))),
         "mask_labels": _on(_tokenized, lambda: dict(labels=_csv("labels"))),
         "prompt_len": _on(_tokenized, lambda: dict(prompt_len=tokens.prompt_len("labels"))),
-        "target_ids": _on(_tokenized, lambda: dict(prompt_ids=F.array_join(tokens.prompt_ids("input_ids", "labels").cast("array<string>"), ","), target_ids=F.array_join(tokens.target_ids("labels").cast("array<string>"), ","))),
+        "target_ids": target_ids,
         "tokenize_pairs": tokenize_pairs_query,
         "length_batches": length_batches,
         "pad_batches": pad_batches,
