@@ -7,7 +7,8 @@ chunks is a summary row for each.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
@@ -60,57 +61,114 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int) -> DataFrame:
     )
 
 
-def _accepted(ranked: DataFrame, run: str, patience: int, threshold: float) -> DataFrame:
-    """Improvements by more than a positive threshold, up to the stop of each run.
+_PART = (
+    "{run} {run_type}, part long, entry long, exit long, best_value double, best_step long, "
+    "previous double, rest int, stop_step long"
+)
+_FINAL = (
+    "{run} {run_type}, best_value double, best_step long, previous_best double, counter int, "
+    "stop_step long"
+)
 
-    Only a new minimum can beat the last accepted value by the threshold. Every acceptance lowers
-    the best by more than the threshold and at most `patience` rows pass between two of them, so
-    no run reads past patience * ((first - lowest) / threshold + 2) rows; the fold sees only the
-    new minima up to there.
+
+def _threshold_stops(
+    ranked: DataFrame, run: str, patience: int, threshold: float, lower_is_better: bool, chunk_rows: int
+) -> DataFrame:
+    """Stops when an improvement must beat the last accepted value by a threshold.
+
+    Which row is accepted depends on the one accepted before, but the next one is at most
+    `patience` rows away or the run stops. So a chunk of ranks, with the `patience` rows after it,
+    can be entered at no more than `patience` rows, and where each entry leads is worked out
+    chunk by chunk. What is left to follow per run is one short row per chunk and entry.
     """
-    reach = ranked.groupBy(run).agg(
-        ((F.min_by("_value", "_rank") - F.min("_value")) / threshold).alias("_span")
-    )
-    minima = (
-        ranked.where("_improved")
-        .join(reach, run)
-        .where(
-            F.isnan("_span")
-            | F.col("_span").isNull()
-            | (F.col("_rank") <= patience * (F.col("_span") + 2) + 1)
-        )
-        .groupBy(run)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "_step", "_value"))).alias("_minima"))
-    )
-    entry = "array<struct<_rank:bigint,_value:double,_previous:double>>"
-    start = F.struct(
-        F.lit(None).cast("double").alias("best"), F.array().cast(entry).alias("taken")
-    )
+    chunk_rows = max(chunk_rows, patience)
+    run_type = ranked.schema[run].dataType.simpleString()
 
-    def take(state: Column, x: Column) -> Column:
-        accept = state["best"].isNull() | (x["_value"] < state["best"] - F.lit(float(threshold)))
-        step = F.struct(
-            x["_rank"].alias("_rank"), x["_value"].alias("_value"), state["best"].alias("_previous")
-        )
-        return F.struct(
-            F.when(accept, x["_value"]).otherwise(state["best"]).alias("best"),
-            F.when(accept, F.array_append(state["taken"], step)).otherwise(state["taken"]).alias("taken"),
-        )
+    def follow_chunk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+        import pandas as pd
 
-    taken = minima.select(run, F.explode(F.aggregate("_minima", start, take)["taken"]).alias("t"))
-    marks = taken.select(
-        run, "t._rank", F.col("t._previous").alias("_accepted_previous"), F.lit(True).alias("_taken")
-    )
-    return (
-        ranked.drop("_improved")
-        .join(marks, [run, "_rank"], "left")
-        .withColumns(
+        rows = rows.sort_values("_rank")
+        values = rows["_value"].to_numpy(dtype=np.float64)
+        steps = rows["_step"].to_numpy(dtype=np.int64)
+        count = len(rows)
+        own = min(count, chunk_rows)
+        following = np.full(count, -1)
+        for ahead in range(min(patience, count - 1), 0, -1):
+            better = values[ahead:] < values[:-ahead] - threshold
+            following[:-ahead][better] = np.nonzero(better)[0] + ahead
+        found = []
+        for entry in range(1 if key[1] == 0 else min(patience, own)):
+            at, previous = entry, None
+            while following[at] >= 0 and at < own:
+                previous, at = float(values[at]), int(following[at])
+            leaves = at >= own
+            rest = count - 1 - at
+            stops = not leaves and rest >= patience
+            found.append(
+                (
+                    key[0],
+                    key[1],
+                    entry,
+                    at - own if leaves else None,
+                    float(values[at]),
+                    int(steps[at]),
+                    previous,
+                    patience if stops else rest,
+                    int(steps[at + patience]) if stops else None,
+                )
+            )
+        frame = pd.DataFrame(found, columns=[f.split()[0] for f in layout.split(", ")])
+        return frame.astype({"exit": "Int64", "stop_step": "Int64", "previous": "Float64"})
+
+    def follow_run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
+        places = {(p, e): i for i, (p, e) in enumerate(zip(rows["part"], rows["entry"]))}
+        exits = rows["exit"].to_numpy(dtype=float, na_value=-1)
+        carried = rows["previous"].to_numpy(dtype=float)
+        part = entry = 0
+        previous = None
+        while True:
+            i = places[(part, entry)]
+            if carried[i] == carried[i]:
+                previous = carried[i]
+            if exits[i] < 0 or exits[i] != exits[i]:
+                break
+            part, entry = part + 1, int(exits[i])
+        row = rows.iloc[i]
+        stop = row["stop_step"]
+        return pd.DataFrame(
             {
-                "_improved": F.coalesce("_taken", F.lit(False)),
-                "_previous": F.when(F.col("_taken"), F.col("_accepted_previous")),
+                run: [key[0]],
+                "best_value": [row["best_value"]],
+                "best_step": [row["best_step"]],
+                "previous_best": pd.array([previous], "Float64"),
+                "counter": [row["rest"]],
+                "stop_step": pd.array([None if pd.isna(stop) else int(stop)], "Int64"),
             }
         )
-        .select(*ranked.columns)
+
+    layout = _PART.format(run=run, run_type=run_type)
+    position = F.col("_rank") - 1
+    own = F.floor(position / chunk_rows)
+    lent = F.when((position % chunk_rows < patience) & (own > 0), own - 1)
+    spread = ranked.select(
+        run, "_step", "_value", "_rank", F.explode(F.array_compact(F.array(own, lent))).alias("part")
+    )
+    final = (
+        spread.groupBy(run, "part")
+        .applyInPandas(follow_chunk, layout)
+        .groupBy(run)
+        .applyInPandas(follow_run, _FINAL.format(run=run, run_type=run_type))
+    )
+    # pandas hands a NaN over as null; a best value is never missing otherwise.
+    best = F.coalesce("best_value", F.lit(float("nan")))
+    return final.withColumns(
+        {
+            "best_value": best if lower_is_better else -best,
+            "previous_best": F.col("previous_best") if lower_is_better else -F.col("previous_best"),
+        }
     )
 
 
@@ -131,15 +189,15 @@ def early_stop(
     stop_step (null when the run never stops). Evaluations without a value are skipped, rows
     after the stop do not count. (run, step) must be unique.
     """
-    if patience < 1 or threshold < 0:
-        raise ValueError("patience must be at least 1 and threshold not negative")
+    if patience < 1:
+        raise ValueError("patience must be at least 1")
     value = F.col(metric).cast("double")
     log = df.select(
         run, F.col(step).alias("_step"), (value if lower_is_better else -value).alias("_value")
     ).where(F.col("_value").isNotNull())
     ranked = _ranked(log, run, chunk_steps)
-    if threshold > 0:
-        ranked = _accepted(ranked, run, patience, threshold)
+    if threshold != 0:
+        return _threshold_stops(ranked, run, patience, threshold, lower_is_better, chunk_rows)
     return _stop_state(ranked, run, patience, lower_is_better, chunk_rows)
 
 

@@ -55,9 +55,12 @@ def make_runs(seed):
     return runs
 
 
-@pytest.mark.parametrize("lower", [True, False])
-@pytest.mark.parametrize("threshold", [0.0, 0.4, 1.5])
-@pytest.mark.parametrize("patience, chunk_steps, chunk_rows", [(5, 100_000, 50_000), (3, 1000, 4), (1, 301, 1), (7, 2500, 10)])
+@pytest.mark.parametrize(
+    "threshold, lower", [(0.0, True), (0.0, False), (0.4, True), (1.5, False), (-0.2, True)]
+)
+@pytest.mark.parametrize(
+    "patience, chunk_steps, chunk_rows", [(5, 100_000, 50_000), (3, 1000, 4), (1, 301, 1)]
+)
 def test_early_stop_equals_replay(spark, lower, threshold, patience, chunk_steps, chunk_rows):
     runs = make_runs(patience)
     rows = [(r, s, v if lower or v is None else -v) for r, evals in runs.items() for s, v in evals]
@@ -82,8 +85,6 @@ def test_early_stop_refuses_nonsense(spark):
     log = spark.createDataFrame([(1, 1, 1.0)], SCHEMA)
     with pytest.raises(ValueError):
         L.early_stop(log, patience=0)
-    with pytest.raises(ValueError):
-        L.early_stop(log, threshold=-1.0)
 
 
 def test_best_checkpoint(spark):
