@@ -8,7 +8,7 @@ chunks is a summary row for each.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
@@ -40,6 +40,7 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int) -> DataFrame:
         "rows_before",
         F.min("_low").over(before).alias("_low_before"),
         F.first("_first").over(earlier).alias("_run_first"),
+        F.sum("bucket_rows").over(Window.partitionBy(run)).alias("_run_rows"),
     )
     inside = Window.partitionBy(run, "_chunk").orderBy("_step", "_value")
     preceding = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -57,7 +58,40 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int) -> DataFrame:
             }
         )
         .withColumn("_improved", (F.col("_rank") == 1) | better)
-        .select(run, "_step", "_value", "_rank", "_previous", "_improved")
+        .select(run, "_step", "_value", "_rank", "_previous", "_improved", "_run_rows")
+    )
+
+
+def _short_run_stops(ranked: DataFrame, run: str, patience: int, threshold: float) -> DataFrame:
+    """A replay of each run inside one row; for runs known to be short."""
+    rows = F.array_sort(F.collect_list(F.struct("_rank", "_step", "_value")))
+    nothing = {"best": "double", "at": "bigint", "previous": "double", "counter": "int", "stop": "bigint"}
+    start = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in nothing.items()])
+
+    def state(best: Column, at: Column, previous: Column, counter: Column, stop: Column) -> Column:
+        values = zip(nothing.items(), (best, at, previous, counter, stop))
+        return F.struct(*[v.cast(t).alias(n) for (n, t), v in values])
+
+    def take(s: Column, x: Column) -> Column:
+        none, zero, v = F.lit(None), F.lit(0), x["_value"]
+        better = (v < s["best"] - F.lit(float(threshold))) & ~F.isnan(v) & ~F.isnan(s["best"])
+        waited = s["counter"] + 1
+        stop = F.when(waited >= patience, x["_step"])
+        return (
+            F.when(s["stop"].isNotNull(), s)
+            .when(s["at"].isNull(), state(v, x["_step"], none, zero, none))
+            .when(better, state(v, x["_step"], s["best"], zero, none))
+            .otherwise(state(s["best"], s["at"], s["previous"], waited, stop))
+        )
+
+    ended = ranked.groupBy(run).agg(F.aggregate(rows, start, take).alias("s"))
+    return ended.select(
+        run,
+        F.col("s.best").alias("best_value"),
+        F.col("s.at").alias("best_step"),
+        F.col("s.previous").alias("previous_best"),
+        F.col("s.counter").alias("counter"),
+        F.col("s.stop").alias("stop_step"),
     )
 
 
@@ -71,17 +105,16 @@ _FINAL = (
 )
 
 
-def _threshold_stops(
-    ranked: DataFrame, run: str, patience: int, threshold: float, lower_is_better: bool, chunk_rows: int
+def _long_run_stops(
+    ranked: DataFrame, run: str, patience: int, threshold: float, chunk_rows: int
 ) -> DataFrame:
-    """Stops when an improvement must beat the last accepted value by a threshold.
+    """The same for runs of any length.
 
     Which row is accepted depends on the one accepted before, but the next one is at most
     `patience` rows away or the run stops. So a chunk of ranks, with the `patience` rows after it,
     can be entered at no more than `patience` rows, and where each entry leads is worked out
     chunk by chunk. What is left to follow per run is one short row per chunk and entry.
     """
-    chunk_rows = max(chunk_rows, patience)
     run_type = ranked.schema[run].dataType.simpleString()
 
     def follow_chunk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -163,13 +196,22 @@ def _threshold_stops(
         .applyInPandas(follow_run, _FINAL.format(run=run, run_type=run_type))
     )
     # pandas hands a NaN over as null; a best value is never missing otherwise.
-    best = F.coalesce("best_value", F.lit(float("nan")))
-    return final.withColumns(
-        {
-            "best_value": best if lower_is_better else -best,
-            "previous_best": F.col("previous_best") if lower_is_better else -F.col("previous_best"),
-        }
+    return final.withColumn("best_value", F.coalesce("best_value", F.lit(float("nan"))))
+
+
+def _threshold_stops(
+    ranked: DataFrame, run: str, patience: int, threshold: float, lower_is_better: bool, chunk_rows: int
+) -> DataFrame:
+    """Stops when an improvement must beat the last accepted value by a threshold: runs of at most
+    chunk_rows evaluations are replayed as one array each, longer ones chunk by chunk."""
+    chunk_rows = max(chunk_rows, patience)
+    short = F.col("_run_rows") <= chunk_rows
+    stops = _short_run_stops(ranked.where(short), run, patience, threshold).unionByName(
+        _long_run_stops(ranked.where(~short), run, patience, threshold, chunk_rows)
     )
+    if lower_is_better:
+        return stops
+    return stops.withColumns({c: -F.col(c) for c in ("best_value", "previous_best")})
 
 
 def early_stop(
