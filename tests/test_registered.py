@@ -12,6 +12,7 @@ if not Path(SF_DIR).exists():
     pytest.skip("driver tables are not here", allow_module_level=True)
 
 import __spark_entry__ as entry  # noqa: E402
+from pairprep.plans import catalog, oracle  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, con, name):
     assert compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
 
@@ -29,4 +30,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert catalog.queries().keys() == oracle.oracle_sql().keys()
+
+
+def test_every_query_is_registered():
+    assert catalog.queries().keys() <= entry.queries().keys()
