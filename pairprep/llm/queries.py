@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pairprep.llm.packing import op1_packing
+from pairprep.llm.simhash_bytes import op10_simhash_bytes
 from pairprep.llm.wu_manber import OP8_SQL, op8_wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op8_wu_manber)}
+    return {q.__name__: q for q in (op1_packing, op8_wu_manber, op10_simhash_bytes)}
 
 
 def oracle_sql() -> dict[str, str]:
