@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pairprep.llm.packing import op1_packing
 from pairprep.llm.secret_dfa import op3_secret_dfa
 from pairprep.llm.simhash_bytes import op10_simhash_bytes
+from pairprep.llm.suffix_levels import op5_suffix_levels
 from pairprep.llm.wu_manber import OP8_SQL, op8_wu_manber
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op3_secret_dfa, op8_wu_manber, op10_simhash_bytes)}
+    return {q.__name__: q for q in (op1_packing, op3_secret_dfa, op5_suffix_levels, op8_wu_manber, op10_simhash_bytes)}
 
 
 def oracle_sql() -> dict[str, str]:
