@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pairprep.llm.packing import op1_packing
+from pairprep.llm.rule_cascade import OP6_SQL, op6_rule_cascade
 from pairprep.llm.secret_dfa import op3_secret_dfa
 from pairprep.llm.simhash_bytes import op10_simhash_bytes
 from pairprep.llm.suffix_levels import op5_suffix_levels
@@ -16,8 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op3_secret_dfa, op5_suffix_levels, op8_wu_manber, op10_simhash_bytes)}
+    return {q.__name__: q for q in (op1_packing, op3_secret_dfa, op5_suffix_levels, op6_rule_cascade, op8_wu_manber, op10_simhash_bytes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_wu_manber": OP8_SQL}
+    return {"op6_rule_cascade": OP6_SQL, "op8_wu_manber": OP8_SQL}
