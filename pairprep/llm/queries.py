@@ -6,19 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairprep.llm.chat_schema import OP4_SQL, op4_chat_schema
 from pairprep.llm.packing import op1_packing
 from pairprep.llm.rule_cascade import OP6_SQL, op6_rule_cascade
 from pairprep.llm.secret_dfa import op3_secret_dfa
 from pairprep.llm.simhash_bytes import op10_simhash_bytes
 from pairprep.llm.suffix_levels import op5_suffix_levels
 from pairprep.llm.wu_manber import OP8_SQL, op8_wu_manber
+from pairprep.llm.zip_warc import OP7_SQL, op7_zip_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op3_secret_dfa, op5_suffix_levels, op6_rule_cascade, op8_wu_manber, op10_simhash_bytes)}
+    return {q.__name__: q for q in (op1_packing, op3_secret_dfa, op4_chat_schema, op5_suffix_levels, op6_rule_cascade, op7_zip_warc, op8_wu_manber, op10_simhash_bytes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_rule_cascade": OP6_SQL, "op8_wu_manber": OP8_SQL}
+    return {"op4_chat_schema": OP4_SQL, "op7_zip_warc": OP7_SQL, "op6_rule_cascade": OP6_SQL, "op8_wu_manber": OP8_SQL}
