@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairprep.llm.chat_schema import OP4_SQL, op4_chat_schema
 from pairprep.llm.packing import op1_packing
+from pairprep.llm.pii_boost import op9_pii_boost
 from pairprep.llm.quality_fm import op2_quality_fm
 from pairprep.llm.rule_cascade import OP6_SQL, op6_rule_cascade
 from pairprep.llm.secret_dfa import op3_secret_dfa
@@ -19,9 +20,28 @@ from pairprep.llm.zip_warc import OP7_SQL, op7_zip_warc
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+OPERATORS = (
+    op1_packing,
+    op2_quality_fm,
+    op3_secret_dfa,
+    op4_chat_schema,
+    op5_suffix_levels,
+    op6_rule_cascade,
+    op7_zip_warc,
+    op8_wu_manber,
+    op9_pii_boost,
+    op10_simhash_bytes,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_packing, op2_quality_fm, op3_secret_dfa, op4_chat_schema, op5_suffix_levels, op6_rule_cascade, op7_zip_warc, op8_wu_manber, op10_simhash_bytes)}
+    return {q.__name__: q for q in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_schema": OP4_SQL, "op7_zip_warc": OP7_SQL, "op6_rule_cascade": OP6_SQL, "op8_wu_manber": OP8_SQL}
+    return {
+        "op4_chat_schema": OP4_SQL,
+        "op6_rule_cascade": OP6_SQL,
+        "op7_zip_warc": OP7_SQL,
+        "op8_wu_manber": OP8_SQL,
+    }
