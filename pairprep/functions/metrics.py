@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from pairprep.functions.text import as_column
 
-_LONG_BELOW = 9e18
+# Doubles from here on are whole numbers.
+_WHOLE_FROM = 2.0**53
+_LIMB = 10**9
 
 
 def perplexity(loss: Column | str) -> Column:
@@ -15,12 +17,43 @@ def perplexity(loss: Column | str) -> Column:
     return F.exp(as_column(loss))
 
 
+def _times(limbs: Column, factor: Column) -> Column:
+    """A number in limbs of nine digits, lowest first, times a factor below 2**30."""
+    form = "struct<carry:bigint,done:array<bigint>>"
+
+    def step(s: Column, limb: Column) -> Column:
+        product = limb * factor + s["carry"]
+        low = F.array_append(s["done"], product % _LIMB)
+        return F.struct(_div(product, _LIMB).alias("carry"), low.alias("done")).cast(form)
+
+    start = F.struct(F.lit(0).alias("carry"), F.array().alias("done")).cast(form)
+    return F.aggregate(limbs, start, step, lambda s: F.array_append(s["done"], s["carry"]))
+
+
+def _whole_digits(size: Column) -> Column:
+    """All digits of a whole double: its significand in limbs, doubled as often as needed."""
+    shift = F.greatest(F.floor(F.log2(size)).cast("int") - 53, F.lit(0))
+    significand = (size / F.pow(F.lit(2.0), shift)).cast("long")
+    limbs = F.array(significand % _LIMB, _div(significand, _LIMB) % _LIMB, _div(significand, _LIMB**2))
+    power = lambda n: F.pow(F.lit(2.0), n).cast("long")
+    rounds = F.sequence(F.lit(0), F.floor(shift / 29).cast("int"))
+    last = F.floor(shift / 29).cast("int")
+    factor = lambda i: F.when(i < last, F.lit(2**29).cast("long")).otherwise(power(shift % 29))
+    grown = F.aggregate(rounds, limbs, lambda held, i: _times(held, factor(i)))
+    padded = F.transform(F.reverse(grown), lambda x: F.lpad(x.cast("string"), 9, "0"))
+    return F.ltrim(F.array_join(padded, ""), F.lit("0"))
+
+
+def _div(x: Column, by: int) -> Column:
+    return F.call_function("div", x, F.lit(by).cast("long"))
+
+
 def fixed4(value: Column | str) -> Column:
     """Four decimals, rounded on the exact binary value with ties to even.
 
     Java's formatters round the shortest decimal form instead, so 2.00005 or 1.03125 would
     come out one unit higher. The fraction times 10000 is split into a rounded product and its
-    exact error.
+    exact error. Doubles without a fraction are written with all their digits.
     """
     x = as_column(value)
     size = F.abs(x)
@@ -46,8 +79,8 @@ def fixed4(value: Column | str) -> Column:
         .when(F.isnan(x), "nan")
         .when(x == float("inf"), "inf")
         .when(x == float("-inf"), "-inf")
-        .when(size < _LONG_BELOW, exact)
-        .otherwise(F.format_string("%.4f", x))
+        .when(size < _WHOLE_FROM, exact)
+        .otherwise(F.concat(F.when(negative, "-").otherwise(""), _whole_digits(size), F.lit(".0000")))
     )
 
 

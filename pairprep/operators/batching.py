@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
@@ -23,15 +23,16 @@ def length_batches(
     """Add (megabatch, batch_id, batch_pos): seeded order, cut into megabatches of 50 batches,
     each sorted by length, longest first, and cut into batches. Only the last batch is short.
 
-    Every window is small by construction: a hash bucket, then one megabatch.
+    Every window is small by construction: a hash bucket, then one megabatch. The order is made of
+    key and length alone, and the rows are moved once, to join it; hand in a stored table.
     """
     rows = MEGABATCH_BATCHES * batch_size
     size = F.col(length) if length else F.size(ids)
-    ranked = global_hash_rank(df, seed, key, "_rank").withColumn(
+    ranked = global_hash_rank(df.select(key, size.alias("_size")), seed, key, "_rank").withColumn(
         "megabatch", F.floor(F.col("_rank") / rows)
     )
-    window = Window.partitionBy("megabatch").orderBy(size.desc(), "_rank")
-    return (
+    window = Window.partitionBy("megabatch").orderBy(F.desc("_size"), "_rank")
+    planned = (
         ranked.withColumn("_at", F.row_number().over(window) - 1)
         .withColumns(
             {
@@ -39,8 +40,9 @@ def length_batches(
                 "batch_pos": (F.col("_at") % batch_size).cast("int"),
             }
         )
-        .drop("_rank", "_at")
+        .drop("_rank", "_at", "_size")
     )
+    return df.join(planned, key)
 
 
 def pad_batches(
@@ -49,21 +51,22 @@ def pad_batches(
     pad_id: int = C.EOS_ID,
     key: str = C.KEY,
 ) -> DataFrame:
-    """One row per batch with its arrays padded to the longest, rounded up to `multiple`.
+    """One row per batch with its arrays padded to the longest, rounded up to `multiple`, and
+    padding, the number of places that hold no token.
 
-    Grouping starts from the megabatch the rows are already partitioned by, so no shuffle is
-    added, and a group never holds more than batch_size rows.
+    A group never holds more than batch_size rows.
     """
     row = F.struct("batch_pos", key, "input_ids", "attention_mask", "labels")
     longest = F.array_max(F.transform("_rows", lambda r: F.size(r["input_ids"])))
     width = (F.ceil(longest / multiple) * multiple).cast("int")
     return (
-        batched.groupBy("megabatch", "batch_id")
+        batched.groupBy("batch_id")
         .agg(F.array_sort(F.collect_list(row)).alias("_rows"))
         .withColumn("width", width)
         .select(
             "batch_id",
             "width",
+            (F.col("width") * F.size("_rows") - _tokens_in("_rows")).cast("long").alias("padding"),
             F.transform("_rows", lambda r: r[key]).alias(f"{key}s"),
             F.transform("_rows", lambda r: pad_to(r["input_ids"], F.col("width"), pad_id)).alias("input_ids"),
             F.transform("_rows", lambda r: pad_to(r["attention_mask"], F.col("width"), 0)).alias(
@@ -76,6 +79,18 @@ def pad_batches(
     )
 
 
+def _tokens_in(rows: str) -> Column:
+    return F.aggregate(F.transform(rows, lambda r: F.size(r["input_ids"])), F.lit(0), lambda a, b: a + b)
+
+
+def padding_waste(padded: DataFrame) -> DataFrame:
+    """Places and padding over all batches, and the share of places that is padding."""
+    places = F.sum(F.col("width") * F.size("input_ids")).cast("long")
+    return padded.agg(places.alias("places"), F.sum("padding").cast("long").alias("padding")).withColumn(
+        "padding_pct", F.round(F.try_divide(100 * F.col("padding"), F.col("places")), 6)
+    )
+
+
 def step_plan(batched: DataFrame, accumulation: int = C.ACCUMULATION) -> DataFrame:
     """Micro-batch and optimiser step, both from zero, of every row that has a batch."""
     return batched.withColumns(

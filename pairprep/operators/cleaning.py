@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
-from pairprep.functions.rules import keep_pair
+from pairprep.functions.rules import keep_pair, reject_reason
 from pairprep.functions.text import normalize_newlines, text_or_empty
 
 
@@ -63,3 +63,33 @@ def assert_nonempty(df: DataFrame, split: str = "train") -> DataFrame:
     if df.where(F.col(C.SPLIT) == split).isEmpty():
         raise ValueError(f"split '{split}' is empty")
     return df
+
+
+def reject_breakdown(df: DataFrame, diff: str = C.DIFF, message: str = C.MESSAGE, split: str = C.SPLIT) -> DataFrame:
+    """Rows per split and first failing rule; the reason is null for pairs that are kept."""
+    return df.select(split, reject_reason(diff, message).alias("reason")).groupBy(split, "reason").agg(
+        F.count("*").alias("n_rows")
+    )
+
+
+def split_overlap(
+    df: DataFrame, texts: tuple[str, ...] = (C.DIFF, C.MESSAGE), split: str = C.SPLIT, train: str = "train"
+) -> DataFrame:
+    """Rows per other split, and how many of them have normalised texts that a train row has too.
+
+    Both sides are counted per digest first, so a text that very many rows share is one row of the
+    join; a null text counts as empty.
+    """
+    parts = [normalize_newlines(F.coalesce(t, F.lit(""))) for t in texts]
+    digest = F.sha2(F.array_join(F.array(*[F.sha2(p, 256) for p in parts]), ","), 256)
+    counted = df.select(split, digest.alias("_digest")).groupBy(split, "_digest").agg(F.count("*").alias("_n"))
+    known = counted.where(F.col(split) == train).select("_digest", F.lit(True).alias("_known"))
+    return (
+        counted.where(F.col(split) != train)
+        .join(known, "_digest", "left")
+        .groupBy(split)
+        .agg(
+            F.sum("_n").alias("n_rows"),
+            F.sum(F.when(F.col("_known"), F.col("_n")).otherwise(0)).alias("n_in_train"),
+        )
+    )

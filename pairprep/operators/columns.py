@@ -97,3 +97,23 @@ def infer_columns(df: DataFrame, key: str = C.KEY, split: str = C.SPLIT) -> tupl
     """The two names on the driver, ready to be used as arguments; the defaults for an empty table."""
     row = inferred_columns(df, key, split).first()
     return (row.diff_column, row.message_column) if row else (C.DIFF, C.MESSAGE)
+
+
+def summed_columns(df: DataFrame, split: str = C.SPLIT) -> DataFrame:
+    """(diff_column, message_column) from the scores of all rows together, ties to the earliest
+    column, defaults where nothing can be guessed."""
+    names = [n for n in string_columns(df) if n != split]
+    if not names:
+        return inferred_columns(df, split=split)
+    places = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
+    totals = (
+        df.select(F.inline(column_scores(names)))
+        .groupBy("name")
+        .agg(F.sum("diff_score").alias("diff_score"), F.sum("msg_score").alias("msg_score"))
+    )
+    row = F.struct(F.try_element_at(places, F.col("name")).alias("place"), "name", "diff_score", "msg_score")
+    scores = totals.agg(F.array_sort(F.collect_list(row)).alias("scores"))
+    return scores.select(choose_columns("scores").alias("c")).select(
+        F.coalesce("c.diff_column", F.lit(C.DIFF)).alias("diff_column"),
+        F.coalesce("c.message_column", F.lit(C.MESSAGE)).alias("message_column"),
+    )

@@ -16,26 +16,21 @@ def sample_prompts(samples: DataFrame, vocab: DataFrame, key: str = C.KEY) -> Da
     parts = samples.where(has_target("labels")).select(
         key, prompt_ids("input_ids", "labels").alias("_prompt"), target_ids("labels").alias("_target")
     )
-    texts = decode(decode(parts, vocab, "_prompt", "prompt", key=key), vocab, "_target", "_truth", key=key)
+    texts = decode(decode(parts, vocab, "_prompt", "prompt"), vocab, "_target", "_truth")
     return texts.select(key, "prompt", strip("_truth").alias("ground_truth"))
 
 
-def eval_records(
-    samples: DataFrame, predictions: DataFrame, vocab: DataFrame, key: str = C.KEY
-) -> DataFrame:
-    """index, prompt, prediction and ground truth for every sample that was generated for.
+def eval_records(prompts: DataFrame, predictions: DataFrame, key: str = C.KEY) -> DataFrame:
+    """index, prompt, prediction and ground truth for every sampled prompt that was generated for.
 
-    `predictions` has one row per key with the full `generated` text.
+    `prompts` is a stored table of `sample_prompts`, so that the model gets the same texts and
+    nothing is decoded twice; `predictions` has one row per key with the full `generated` text.
     """
-    return (
-        sample_prompts(samples, vocab, key)
-        .join(predictions.select(key, "generated"), key)
-        .select(
-            F.col(key).alias("index"),
-            "prompt",
-            extract_completion("generated", "prompt").alias("prediction"),
-            "ground_truth",
-        )
+    return prompts.join(predictions.select(key, "generated"), key).select(
+        F.col(key).alias("index"),
+        "prompt",
+        extract_completion("generated", "prompt").alias("prediction"),
+        "ground_truth",
     )
 
 

@@ -30,8 +30,8 @@ def generate_batch(
     `factory()` runs once per task and returns a function from prompts to full generated texts,
     each starting with its prompt; `generation` is handed to that function as it is. The model
     sees the prompt cut at max_length tokens, and that cut prompt is what is removed from its
-    answer. Only cutting to batches and the model itself run in Python. Rows without a diff are
-    refused.
+    answer. Only cutting to batches and the model itself run in Python, once per row whatever is
+    filtered afterwards. Rows without a diff are refused.
     """
 
     @F.pandas_udf("generated string, seconds double")
@@ -56,7 +56,7 @@ def generate_batch(
         df.where(has_input(diff))
         .withColumn("prompt", build_prompt(diff, separator))
         .withColumn("_sent", sent)
-        .withColumn("_answer", answer("_sent"))
+        .withColumn("_answer", answer.asNondeterministic()("_sent"))
         .withColumns(
             {
                 "commit_message": extract_completion("_answer.generated", "_sent"),
@@ -73,3 +73,10 @@ def generation_results(df: DataFrame, diff: str = C.DIFF) -> DataFrame:
     return df.select(
         F.col(diff).alias("diff"), "commit_message", "prompt", "generation_time", "truncated_diff"
     )
+
+
+def split_diff_by_file(df: DataFrame, diff: str = C.DIFF, key: str = C.KEY) -> DataFrame:
+    """(key, part, diff): one row per file of a diff, in order from zero. Text before the first
+    header is a part of its own; the parts make the diff again; rows without a diff have none."""
+    parts = F.split(diff, r"(?<![^\n])(?=diff --git )")
+    return df.where(has_input(diff)).select(key, F.posexplode(parts).alias("part", diff))

@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairprep.sources.scratch import stage
+
+# monotonically_increasing_id keeps the partition above this many bits, the row below.
+PLACE_BITS = 33
 HASH_DIGITS = 4
 HASH_BUCKETS = 16**HASH_DIGITS
 
@@ -48,3 +52,23 @@ def global_hash_rank(df: DataFrame, seed: int, key: str, out: str = "rank") -> D
         .withColumn(out, F.col("rows_before") + F.row_number().over(window) - 1)
         .drop("_bucket", "_hash", "rows_before")
     )
+
+
+def global_rank(df: DataFrame, order: tuple[Column, ...], out: str = "rank") -> DataFrame:
+    """Zero-based position of every row in any order, ties broken arbitrarily.
+
+    The rows are range-partitioned and numbered inside their partition; what crosses partitions is
+    one count of each, so the broadcast has as many rows as there are partitions.
+    """
+    place = F.monotonically_increasing_id()
+    placed = stage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place), "ordered"
+    )
+    part = F.shiftright("_place", PLACE_BITS)
+    numbered = placed.withColumns({"_part": part, "_at": F.col("_place") - F.shiftleft(part, PLACE_BITS)})
+    offsets = bucket_offsets(numbered, "_part").select("_part", "rows_before")
+    return (
+        numbered.join(F.broadcast(offsets), "_part")
+        .withColumn(out, F.col("rows_before") + F.col("_at"))
+        .drop("_part", "_at", "_place", "rows_before")
+    )

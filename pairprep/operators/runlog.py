@@ -40,7 +40,6 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int) -> DataFrame:
         "rows_before",
         F.min("_low").over(before).alias("_low_before"),
         F.first("_first").over(earlier).alias("_run_first"),
-        F.sum("bucket_rows").over(Window.partitionBy(run)).alias("_run_rows"),
     )
     inside = Window.partitionBy(run, "_chunk").orderBy("_step", "_value")
     preceding = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -58,40 +57,7 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int) -> DataFrame:
             }
         )
         .withColumn("_improved", (F.col("_rank") == 1) | better)
-        .select(run, "_step", "_value", "_rank", "_previous", "_improved", "_run_rows")
-    )
-
-
-def _short_run_stops(ranked: DataFrame, run: str, patience: int, threshold: float) -> DataFrame:
-    """A replay of each run inside one row; for runs known to be short."""
-    rows = F.array_sort(F.collect_list(F.struct("_rank", "_step", "_value")))
-    nothing = {"best": "double", "at": "bigint", "previous": "double", "counter": "int", "stop": "bigint"}
-    start = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in nothing.items()])
-
-    def state(best: Column, at: Column, previous: Column, counter: Column, stop: Column) -> Column:
-        values = zip(nothing.items(), (best, at, previous, counter, stop))
-        return F.struct(*[v.cast(t).alias(n) for (n, t), v in values])
-
-    def take(s: Column, x: Column) -> Column:
-        none, zero, v = F.lit(None), F.lit(0), x["_value"]
-        better = (v < s["best"] - F.lit(float(threshold))) & ~F.isnan(v) & ~F.isnan(s["best"])
-        waited = s["counter"] + 1
-        stop = F.when(waited >= patience, x["_step"])
-        return (
-            F.when(s["stop"].isNotNull(), s)
-            .when(s["at"].isNull(), state(v, x["_step"], none, zero, none))
-            .when(better, state(v, x["_step"], s["best"], zero, none))
-            .otherwise(state(s["best"], s["at"], s["previous"], waited, stop))
-        )
-
-    ended = ranked.groupBy(run).agg(F.aggregate(rows, start, take).alias("s"))
-    return ended.select(
-        run,
-        F.col("s.best").alias("best_value"),
-        F.col("s.at").alias("best_step"),
-        F.col("s.previous").alias("previous_best"),
-        F.col("s.counter").alias("counter"),
-        F.col("s.stop").alias("stop_step"),
+        .select(run, "_step", "_value", "_rank", "_previous", "_improved")
     )
 
 
@@ -105,10 +71,10 @@ _FINAL = (
 )
 
 
-def _long_run_stops(
+def _followed_stops(
     ranked: DataFrame, run: str, patience: int, threshold: float, chunk_rows: int
 ) -> DataFrame:
-    """The same for runs of any length.
+    """Stops when an improvement must beat the last accepted value by a threshold.
 
     Which row is accepted depends on the one accepted before, but the next one is at most
     `patience` rows away or the run stops. So a chunk of ranks, with the `patience` rows after it,
@@ -130,11 +96,15 @@ def _long_run_stops(
         for ahead in range(min(patience, count - 1), 0, -1):
             better = values[ahead:] < values[:-ahead] - threshold
             following[:-ahead][better] = np.nonzero(better)[0] + ahead
+        # Where each row leads, from behind: to itself, or to where the row it follows leads.
+        end, before = np.arange(count), np.full(count, -1)
+        for at in range(own - 1, -1, -1):
+            if (next_at := following[at]) >= 0:
+                end[at] = end[next_at]
+                before[at] = before[next_at] if before[next_at] >= 0 else at
         found = []
         for entry in range(1 if key[1] == 0 else min(patience, own)):
-            at, previous = entry, None
-            while following[at] >= 0 and at < own:
-                previous, at = float(values[at]), int(following[at])
+            at, came = int(end[entry]), int(before[entry])
             leaves = at >= own
             rest = count - 1 - at
             stops = not leaves and rest >= patience
@@ -146,7 +116,7 @@ def _long_run_stops(
                     at - own if leaves else None,
                     float(values[at]),
                     int(steps[at]),
-                    previous,
+                    float(values[came]) if came >= 0 else None,
                     patience if stops else rest,
                     int(steps[at + patience]) if stops else None,
                 )
@@ -199,21 +169,6 @@ def _long_run_stops(
     return final.withColumn("best_value", F.coalesce("best_value", F.lit(float("nan"))))
 
 
-def _threshold_stops(
-    ranked: DataFrame, run: str, patience: int, threshold: float, lower_is_better: bool, chunk_rows: int
-) -> DataFrame:
-    """Stops when an improvement must beat the last accepted value by a threshold: runs of at most
-    chunk_rows evaluations are replayed as one array each, longer ones chunk by chunk."""
-    chunk_rows = max(chunk_rows, patience)
-    short = F.col("_run_rows") <= chunk_rows
-    stops = _short_run_stops(ranked.where(short), run, patience, threshold).unionByName(
-        _long_run_stops(ranked.where(~short), run, patience, threshold, chunk_rows)
-    )
-    if lower_is_better:
-        return stops
-    return stops.withColumns({c: -F.col(c) for c in ("best_value", "previous_best")})
-
-
 def early_stop(
     df: DataFrame,
     patience: int = C.PATIENCE,
@@ -239,7 +194,9 @@ def early_stop(
     ).where(F.col("_value").isNotNull())
     ranked = _ranked(log, run, chunk_steps)
     if threshold != 0:
-        return _threshold_stops(ranked, run, patience, threshold, lower_is_better, chunk_rows)
+        stops = _followed_stops(ranked, run, patience, threshold, max(chunk_rows, patience))
+        signs = {c: -F.col(c) for c in ("best_value", "previous_best")}
+        return stops if lower_is_better else stops.withColumns(signs)
     return _stop_state(ranked, run, patience, lower_is_better, chunk_rows)
 
 
@@ -325,9 +282,10 @@ def run_summary(
 def eval_summary(
     df: DataFrame, loss: str = "loss", weight: str = "n_target", split: str = C.SPLIT
 ) -> DataFrame:
-    """Mean loss per target token and its perplexity, per split."""
+    """Mean loss per target token and its perplexity, per split; a row without a loss has no weight."""
+    counted = F.when(F.col(loss).isNotNull(), F.col(weight))
     summed = df.groupBy(split).agg(
-        F.sum(F.col(loss) * F.col(weight)).alias("_total"), F.sum(weight).alias("_weight")
+        F.sum(F.col(loss) * F.col(weight)).alias("_total"), F.sum(counted).alias("_weight")
     )
     return summed.select(split, F.try_divide("_total", "_weight").alias("loss")).withColumn(
         "perplexity", perplexity("loss")

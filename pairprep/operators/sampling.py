@@ -78,5 +78,9 @@ def eval_sample(
     key: str = C.KEY,
     labels: str = "labels",
 ) -> DataFrame:
-    """n rows drawn without replacement, then those without a target dropped."""
-    return df.orderBy(seeded_hash(seed, key), key).limit(n).where(has_target(labels))
+    """n rows drawn without replacement, then those without a target dropped.
+
+    The draw reads keys only; the n keys, a bounded table, then fetch their rows.
+    """
+    drawn = df.select(key).orderBy(seeded_hash(seed, key), key).limit(n)
+    return df.join(F.broadcast(drawn), key, "left_semi").where(has_target(labels))

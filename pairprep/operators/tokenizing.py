@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from pairprep import constants as C
 from pairprep.functions.text import build_prompt, build_training_text, split_tokens, starts_with_space
-from pairprep.functions.tokens import attention_mask, mask_labels, truncate
-from pairprep.operators.vocabulary import BROADCAST_ROWS, lookup_ids
+from pairprep.functions.tokens import attention_mask, mask_labels, target_ids, truncate
+from pairprep.operators.vocabulary import BLOCK_BYTES, lookup_ids
 
 Tokenizer = Callable[[list[str]], list[list[int]]]
 
@@ -39,12 +39,12 @@ def tokenize_pairs(
     keep_columns: bool = False,
     key: str = C.KEY,
     split: str = C.SPLIT,
-    broadcast_rows: int = BROADCAST_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """input_ids, attention_mask and labels of diff + separator + message + end token.
 
     Both the prompt and the sequence are cut from the right at max_length, so a long diff leaves
-    no target; such rows stay. Key and split are always kept, other columns on request.
+    no target; such rows stay. A row with a null text has null arrays. Key and split are always kept, other columns on request.
     """
     sequence = F.array_append(_pair_tokens(diff, message, separator), F.lit(C.EOS_TOKEN))
     made = F.struct(
@@ -56,7 +56,7 @@ def tokenize_pairs(
     narrow = df.withColumn("_prompt", split_tokens(build_prompt(diff, separator))).select(
         *kept, F.inline(F.array(made))
     )
-    coded = lookup_ids(narrow, vocab, "_tokens", "input_ids", key, broadcast_rows)
+    coded = lookup_ids(narrow, vocab, "_tokens", "input_ids", block_bytes)
     return _with_labels(coded, kept)
 
 
@@ -72,23 +72,26 @@ def tokenize_pairs_with(
     key: str = C.KEY,
     split: str = C.SPLIT,
 ) -> DataFrame:
-    """The same with the caller's tokenizer, built once per task and fed whole Arrow batches."""
+    """The same with the caller's tokenizer, built once per task and called once per batch with the
+    prompts and the whole texts. It need not be deterministic: each row is tokenised once."""
 
-    @F.pandas_udf("array<int>")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("prompt array<int>, whole array<int>")
+    def ids_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         import pandas as pd
 
         encode = tokenizer()
-        for texts in batches:
-            yield pd.Series(encode(texts.tolist()), index=texts.index)
+        for prompts, wholes in batches:
+            made = encode(prompts.tolist() + wholes.tolist())
+            yield pd.DataFrame({"prompt": made[: len(prompts)], "whole": made[len(prompts) :]})
 
-    prompt = ids_of(build_prompt(diff, separator))
-    sequence = ids_of(build_training_text(diff, message, separator, eos))
     kept = df.columns if keep_columns else [c for c in (key, split) if c in df.columns]
-    coded = df.select(
-        *kept,
-        F.least(F.size(prompt), F.lit(max_length)).alias("_prompt_size"),
-        truncate(sequence, max_length).alias("input_ids"),
+    prompt = F.coalesce(build_prompt(diff, separator), F.lit(""))
+    whole = F.coalesce(build_training_text(diff, message, separator, eos), F.lit(""))
+    absent = F.col(diff).isNull() | F.col(message).isNull()
+    made = df.withColumn("_absent", absent).withColumn("_made", ids_of.asNondeterministic()(prompt, whole))
+    ids = F.when(~F.col("_absent"), truncate("_made.whole", max_length))
+    coded = made.select(
+        *kept, F.least(F.size("_made.prompt"), F.lit(max_length)).alias("_prompt_size"), ids.alias("input_ids")
     )
     return _with_labels(coded, kept)
 
@@ -100,3 +103,18 @@ def _with_labels(coded: DataFrame, kept: list[str]) -> DataFrame:
         attention_mask("input_ids").alias("attention_mask"),
         mask_labels("_prompt_size", "input_ids").alias("labels"),
     )
+
+
+def token_stats(df: DataFrame, max_length: int = C.MAX_LENGTH, split: str = C.SPLIT) -> DataFrame:
+    """What truncation and label masks did, per split: rows, tokens, the longest row and the exact
+    median, rows that fill max_length, target tokens and rows that have none."""
+    size, targets = F.size("input_ids"), F.size(target_ids("labels"))
+    return df.groupBy(split).agg(
+        F.count("*").alias("n_rows"),
+        F.sum(size).alias("n_tokens"),
+        F.max(size).alias("longest"),
+        F.percentile(size, F.lit(0.5)).alias("median"),
+        F.count_if(size >= max_length).alias("n_full"),
+        F.sum(targets).alias("n_targets"),
+        F.count_if(targets == 0).alias("n_without_target"),
+    )

@@ -1,25 +1,28 @@
 """Learning a vocabulary, and turning text into ids and back with it.
 
-The ids follow token frequency behind two reserved ones. A vocabulary up to BROADCAST_ROWS rows
-is counted, then sent to the tasks and looked up on whole Arrow arrays: no shuffle, and a token
-that fills a third of the corpus costs nothing extra. A larger one is joined on the token, where
-adaptive execution splits the hot tokens.
+The ids follow token frequency behind two reserved ones. A vocabulary is looked up in blocks of a
+bounded size in bytes, each sent to all tasks and looked up on whole Arrow arrays: no token is
+shuffled, so one that fills a third of the corpus costs nothing extra. Nearly every vocabulary is
+one block; a larger one takes one more pass over the rows per block, by the same code.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from pairprep import constants as C
 from pairprep.functions.text import split_tokens
 from pairprep.functions.tokens import truncate
+from pairprep.operators.ranking import global_rank
+from pairprep.sources.scratch import stage
 
-BROADCAST_ROWS = 500_000
+BLOCK_BYTES = 64_000_000
+# Bytes counted for a row beside its token.
+ROW_BYTES = 64
 
 
 def token_counts(df: DataFrame, *texts: Column | str) -> DataFrame:
@@ -31,13 +34,12 @@ def token_counts(df: DataFrame, *texts: Column | str) -> DataFrame:
 def build_vocab(df: DataFrame, size: int, *texts: Column | str) -> DataFrame:
     """(token, id) of the `size` most frequent tokens, ties in token order, and the reserved ids.
 
-    Learn it on whole training texts, separator included, or decoding loses the separator. Only
-    the `size` rows that survive the top-k are numbered together.
+    Learn it on whole training texts, separator included, or decoding loses the separator. Ranks
+    come from a range-partitioned order, so no task sees more than its part of the tokens.
     """
-    top = token_counts(df, *texts).orderBy(F.desc("n"), F.asc("token")).limit(size)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), F.asc("token"))
-    learned = top.select(
-        "token", (F.row_number().over(order) + (C.RESERVED_IDS - 1)).cast("int").alias("id")
+    ranked = global_rank(token_counts(df, *texts), (F.desc("n"), F.asc("token")), "_rank")
+    learned = ranked.where(F.col("_rank") < size).select(
+        "token", (F.col("_rank") + C.RESERVED_IDS).cast("int").alias("id")
     )
     return reserved_tokens(df).unionByName(learned)
 
@@ -48,84 +50,85 @@ def reserved_tokens(df: DataFrame) -> DataFrame:
     )
 
 
-def _small_vocab(vocab: DataFrame, limit: int) -> tuple[list[str], list[int]] | None:
-    """The vocabulary as lists when it has at most `limit` rows, else None."""
-    rows = vocab.select("token", "id").limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return None
-    return rows.column("token").to_pylist(), rows.column("id").to_pylist()
+def _blocks(vocab: DataFrame, key: str, block_bytes: int) -> Iterator[tuple[dict, bool]]:
+    """The vocabulary as lookup tables of at most about block_bytes, and whether it is the last.
 
-
-def _id_lookup(vocab: DataFrame, tokens: list[str], ids: list[int]) -> Callable[[Column], Column]:
-    shared = vocab.sparkSession.sparkContext.broadcast((tokens, ids))
-    unknown = C.UNKNOWN_ID
-
-    @F.arrow_udf("array<int>")
-    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        known, codes = shared.value
-        known = pa.array(known, pa.string())
-        codes = pa.array(codes, pa.int32())
-        for lists in batches:
-            flat = lists.flatten()
-            found = codes.take(pc.index_in(flat.cast(pa.string()), value_set=known))
-            sizes = pc.fill_null(pc.list_value_length(lists), 0)
-            ends = pc.cumulative_sum(sizes.cast(pa.int32()))
-            starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-            yield pa.ListArray.from_arrays(
-                starts, pc.fill_null(found, unknown), mask=lists.is_null() if lists.null_count else None
-            )
-
-    return lookup
+    Of a repeated token or id the smallest partner counts; rows with a null are no entries.
+    """
+    value = "id" if key == "token" else "token"
+    rows = vocab.select(key, value).where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    total = rows.agg(F.sum(F.octet_length(F.col("token")) + ROW_BYTES)).first()[0] or 0
+    n = total // block_bytes + 1
+    for block in range(n):
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64(key), F.lit(n)) == block)
+        table = part.groupBy(key).agg(F.min(value).alias(value)).toArrow()
+        yield dict(zip(*(table.column(c).to_pylist() for c in (key, value)))), block == n - 1
 
 
-def _text_lookup(vocab: DataFrame, tokens: list[str], ids: list[int]) -> Callable[[Column], Column]:
-    by_id = dict(zip(ids, tokens))
-    shared = vocab.sparkSession.sparkContext.broadcast([by_id.get(i) for i in range(max(ids) + 1)])
+def _look_up(df: DataFrame, vocab: DataFrame, key: str, inputs: str, out: str, block_bytes: int) -> DataFrame:
+    """Replace every item of an array by its partner, block by block. An item without a partner
+    becomes the unknown id or an empty text; the texts of a row are joined at the end.
 
-    @F.arrow_udf("string")
-    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    The lookup counts as non-deterministic, or a filter on what follows from it would copy it.
+    """
+    to_ids = key == "token"
+    found = df
+    for number, (table, last) in enumerate(_blocks(vocab, key, block_bytes)):
+        shared = df.sparkSession.sparkContext.broadcast(table)
+        kind = "array<int>" if to_ids else "string" if last else "array<string>"
+        inputs_of = [inputs] if not number else [inputs, out]
+        found = found.withColumn(out, _lookup_udf(shared, kind, to_ids, last, number > 0)(*inputs_of))
+        if not last:
+            found = stage(found, "looked-up")
+    return found
+
+
+def _lookup_udf(shared, kind: str, to_ids: bool, last: bool, earlier: bool):
+    unknown = C.UNKNOWN_ID if to_ids else ""
+
+    def looked_up(lists: pa.Array, before: pa.Array | None) -> pa.Array:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        known = pa.array(shared.value, pa.string())
+        item = pa.int32() if to_ids else pa.string()
+        # Only the distinct items of a batch are looked up one by one.
+        coded = lists.flatten().dictionary_encode()
+        known = pa.array([shared.value.get(x) for x in coded.dictionary.to_pylist()], item)
+        partners = known.take(coded.indices)
+        if before is not None:
+            partners = pc.coalesce(before.flatten().cast(item), partners)
+        if last:
+            partners = pc.fill_null(partners, unknown)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0)
+        ends = pc.cumulative_sum_checked(sizes.cast(pa.int32()))
+        starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        missing = lists.is_null() if lists.null_count else None
+        made = pa.ListArray.from_arrays(starts, partners, mask=missing)
+        return made if to_ids or not last else pc.binary_join(made, "")
+
+    if earlier:
+
+        @F.arrow_udf(kind)
+        def again(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for lists, before in batches:
+                yield looked_up(lists, before)
+
+        return again.asNondeterministic()
+
+    @F.arrow_udf(kind)
+    def once(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            words = pc.fill_null(known.take(lists.flatten()), "")
-            sizes = pc.fill_null(pc.list_value_length(lists), 0)
-            ends = pc.cumulative_sum(sizes.cast(pa.int32()))
-            starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-            joined = pc.binary_join(pa.ListArray.from_arrays(starts, words), "")
-            yield pc.if_else(lists.is_null(), None, joined) if lists.null_count else joined
-
-    return lookup
+            yield looked_up(lists, None)
 
-
-def _rejoin(df: DataFrame, key: str, mapped: DataFrame, out: str, empty: Column) -> DataFrame:
-    return df.join(mapped, key, "left").withColumn(out, F.coalesce(out, empty))
+    return once.asNondeterministic()
 
 
 def lookup_ids(
-    df: DataFrame,
-    vocab: DataFrame,
-    tokens: str,
-    out: str,
-    key: str = C.KEY,
-    broadcast_rows: int = BROADCAST_ROWS,
+    df: DataFrame, vocab: DataFrame, tokens: str, out: str, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Token array to id array; a token outside the vocabulary becomes the unknown id."""
-    small = _small_vocab(vocab, broadcast_rows)
-    if small is not None:
-        return df.withColumn(out, _id_lookup(vocab, *small)(F.col(tokens)))
-    placed = (
-        df.select(key, F.posexplode(tokens).alias("_pos", "token"))
-        .join(vocab.select("token", "id"), "token", "left")
-        .select(key, F.struct("_pos", F.coalesce("id", F.lit(C.UNKNOWN_ID)).alias("id")).alias("_at"))
-        .groupBy(key)
-        .agg(F.transform(F.array_sort(F.collect_list("_at")), lambda x: x["id"]).alias(out))
-    )
-    return _rejoin(df, key, placed, out, F.array().cast("array<int>"))
+    """Token array to id array; a token outside the vocabulary becomes the unknown id, a null
+    array stays null."""
+    return _look_up(df, vocab, "token", tokens, out, block_bytes)
 
 
 def encode(
@@ -134,15 +137,13 @@ def encode(
     text: str,
     out: str = "ids",
     max_length: int | None = C.MAX_LENGTH,
-    key: str = C.KEY,
-    broadcast_rows: int = BROADCAST_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Text to ids, cut to max_length tokens unless that is None."""
+    """Text to ids, cut to max_length tokens unless that is None; a null text stays null."""
     tokens = split_tokens(text)
     if max_length is not None:
         tokens = truncate(tokens, max_length)
-    encoded = lookup_ids(df.withColumn("_tokens", tokens), vocab, "_tokens", out, key, broadcast_rows)
-    return encoded.drop("_tokens")
+    return lookup_ids(df.withColumn("_tokens", tokens), vocab, "_tokens", out, block_bytes).drop("_tokens")
 
 
 def decode(
@@ -151,25 +152,11 @@ def decode(
     ids: str,
     out: str = "text",
     skip_special: bool = True,
-    key: str = C.KEY,
-    broadcast_rows: int = BROADCAST_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Ids to text. Reserved ids are dropped when skip_special, spelled out otherwise."""
+    """Ids to text. Reserved ids are dropped when skip_special, spelled out otherwise; any id
+    without a token, negative ones included, is nothing. A null array stays null."""
     wanted = F.col(ids)
     if skip_special:
         wanted = F.filter(wanted, lambda x: x >= C.RESERVED_IDS)
-    small = _small_vocab(vocab, broadcast_rows)
-    if small is not None:
-        return df.withColumn(out, _text_lookup(vocab, *small)(wanted))
-    placed = (
-        df.select(key, F.posexplode(wanted).alias("_pos", "id"))
-        .join(vocab.select("token", "id"), "id", "left")
-        .select(key, F.struct("_pos", F.coalesce("token", F.lit("")).alias("token")).alias("_at"))
-        .groupBy(key)
-        .agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list("_at")), lambda x: x["token"]), ""
-            ).alias(out)
-        )
-    )
-    return _rejoin(df, key, placed, out, F.lit(""))
+    return _look_up(df.withColumn("_wanted", wanted), vocab, "id", "_wanted", out, block_bytes).drop("_wanted")

@@ -11,7 +11,7 @@ from pairprep import constants as C
 from pairprep.functions import metrics, rules, text, tokens
 from pairprep.operators import batching, chat, cleaning, columns, evaluation, generation, runlog
 from pairprep.operators.sampling import cap_splits, eval_sample
-from pairprep.operators.tokenizing import tokenize_pairs
+from pairprep.operators.tokenizing import token_stats, tokenize_pairs, tokenize_pairs_with
 from pairprep.operators.vocabulary import build_vocab, decode, encode
 from pairprep.plans import views
 from pairprep.plans.prepare import get_splits
@@ -26,6 +26,8 @@ CAPS = {"train": 100, "validation": 20, "test": 40}
 VOCAB_SIZE = 2000
 SAMPLED = 20
 THIN_EVERY = 900
+THRESHOLD = 0.25
+SMALL_BLOCK = 40_000
 
 
 def _csv(col: Column | str) -> Column:
@@ -47,6 +49,11 @@ def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize_pairs(views.clean(spark, sf_dir), _vocab(spark, sf_dir))
 
 
+def _token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokenised pairs as a stored table, for what reads them more than once."""
+    return scratch.stage(_tokenized(spark, sf_dir), "tokens")
+
+
 def _printable(tokenized: DataFrame) -> DataFrame:
     return tokenized.select(
         C.KEY, C.SPLIT, *[_csv(c).alias(c) for c in ("input_ids", "attention_mask", "labels")]
@@ -164,9 +171,26 @@ def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.inferred_columns(views.pairs(spark, sf_dir))
 
 
+def summed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.summed_columns(views.pairs(spark, sf_dir))
+
+
 # aggregations
 
 
+def reject_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.reject_breakdown(views.pairs(spark, sf_dir))
+
+
+def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On messages, of which most are shared by very many rows."""
+    return cleaning.split_overlap(views.pairs(spark, sf_dir), (C.MESSAGE,))
+
+
+def token_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_stats(_tokenized(spark, sf_dir))
+
+
 def retention_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.retention_report(views.pairs(spark, sf_dir))
 
@@ -203,7 +227,7 @@ def get_splits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    test = _tokenized(spark, sf_dir).where(F.col(C.SPLIT) == "test")
+    test = _token_table(spark, sf_dir).where(F.col(C.SPLIT) == "test")
     return eval_sample(test, SAMPLED).select(C.KEY, C.SPLIT)
 
 
@@ -232,7 +256,7 @@ def target_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = views.documents(spark, sf_dir)
-    coded = encode(docs, _vocab(spark, sf_dir), "text", max_length=None, key="doc_id")
+    coded = encode(docs, _vocab(spark, sf_dir), "text", max_length=None)
     return coded.select("doc_id", _csv("ids").alias("ids"))
 
 
@@ -246,13 +270,36 @@ def tokenize_pairs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _printable(_tokenized(spark, sf_dir))
 
 
+def _unicode_tokenizer() -> Callable[[list[str]], list[list[int]]]:
+    """A stand-in for a plugged tokenizer: the code points."""
+    return lambda texts: [[ord(c) for c in t] for t in texts]
+
+
+def tokenize_pairs_with_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _printable(tokenize_pairs_with(views.clean(spark, sf_dir), lambda: _unicode_tokenizer()))
+
+
+def encode_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a vocabulary that takes several blocks."""
+    coded = encode(
+        views.documents(spark, sf_dir), _vocab(spark, sf_dir), "text", max_length=None, block_bytes=SMALL_BLOCK
+    )
+    return coded.select("doc_id", _csv("ids").alias("ids"))
+
+
+def decode_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = _vocab(spark, sf_dir)
+    rows = tokenize_pairs(views.clean(spark, sf_dir), vocab, block_bytes=SMALL_BLOCK)
+    return decode(rows, vocab, "input_ids", block_bytes=SMALL_BLOCK).select(C.KEY, "text")
+
+
 def length_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batched = batching.length_batches(_tokenized(spark, sf_dir))
+    batched = batching.length_batches(_token_table(spark, sf_dir))
     return batched.select(C.KEY, "megabatch", "batch_id", "batch_pos")
 
 
 def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    padded = batching.pad_batches(batching.length_batches(_tokenized(spark, sf_dir)))
+    padded = batching.pad_batches(batching.length_batches(_token_table(spark, sf_dir)))
     return padded.select(
         "batch_id",
         "width",
@@ -261,8 +308,12 @@ def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def padding_waste(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.padding_waste(batching.pad_batches(batching.length_batches(_token_table(spark, sf_dir))))
+
+
 def step_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = batching.step_plan(batching.length_batches(_tokenized(spark, sf_dir)))
+    planned = batching.step_plan(batching.length_batches(_token_table(spark, sf_dir)))
     return planned.select(C.KEY, "micro_batch", "optimizer_step")
 
 
@@ -284,6 +335,14 @@ def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.early_stop(views.run_log(spark, sf_dir))
 
 
+def early_stop_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.early_stop(views.run_log(spark, sf_dir), threshold=THRESHOLD)
+
+
+def early_stop_higher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.early_stop(views.run_log(spark, sf_dir), lower_is_better=False)
+
+
 def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.best_checkpoint(views.run_log(spark, sf_dir))
 
@@ -294,8 +353,9 @@ def thin_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every metric a row has, and one that lands on many rounding ties."""
-    scaled = F.create_map(F.lit("scaled"), F.col("step") / F.lit(32768.0))
+    """Every metric a row has, one that lands on many rounding ties, and a very large perplexity."""
+    large = F.pow(F.lit(2.0), F.col("step") / 300 % 40 + 50) * 3
+    scaled = F.create_map(F.lit("scaled"), F.col("step") / F.lit(32768.0), F.lit("perplexity"), large)
     loss = F.create_map(F.lit("eval_loss"), F.col("eval_loss"))
     logs = F.when(F.col("eval_loss").isNull(), scaled).otherwise(F.map_concat(loss, scaled))
     rows = views.run_log(spark, sf_dir).withColumn("logs", logs)
@@ -305,6 +365,22 @@ def format_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # generation, review, chat
 
 
+def split_diff_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generation.split_diff_by_file(views.pairs(spark, sf_dir))
+
+
+def read_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written as a text file of its own and read back by its name."""
+    path = scratch.fresh_path(spark, "patches")
+    rows = views.documents(spark, sf_dir).where(rules.has_input("text"))
+    doubled = F.replace("text", F.lit("\\"), F.lit("\\\\"))
+    one_line = F.replace(doubled, F.lit("\n"), F.lit("\\n"))
+    rows.select(one_line.alias("value"), "doc_id").write.partitionBy("doc_id").text(path)
+    found = pair_source.read_patches(spark, path)
+    name = F.regexp_extract("path", r"doc_id=(-?[0-9]+)/", 1).cast("long")
+    return found.select(name.alias("doc_id"), F.btrim(C.DIFF, F.lit("\n")).alias(C.DIFF))
+
+
 def _factory() -> Callable[[], Callable[..., list[str]]]:
     """A stand-in model that answers from the whole prompt it was sent."""
 
@@ -333,11 +409,9 @@ def generation_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eval_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = _vocab(spark, sf_dir)
     rows = tokenize_pairs(views.clean(spark, sf_dir), vocab)
+    prompts = scratch.stage(evaluation.sample_prompts(scratch.stage(rows, "tokens"), vocab), "prompts")
     said = F.concat(F.lit("  Update "), F.length("prompt").cast("string"), F.lit(" characters\n"))
-    answers = evaluation.sample_prompts(rows, vocab).select(
-        C.KEY, F.concat("prompt", said).alias("generated")
-    )
-    return evaluation.eval_records(rows, answers, vocab)
+    return evaluation.eval_records(prompts, prompts.select(C.KEY, F.concat("prompt", said).alias("generated")))
 
 
 def render_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,10 +436,15 @@ def clean_pairs_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def early_stop_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch.fresh_path(spark, "stops-stream")
-    log = views.run_log(spark, sf_dir).select("run_id", "step", "eval_loss")
-    stream = spark.readStream.schema(log.schema).parquet(scratch.write_table(log, "run-log"))
-    early_stop_stream(stream, path, f"{path}-checkpoint").awaitTermination()
+    """The log in three parts by step, each a trigger that continues the state of the one before."""
+    source, path = scratch.fresh_path(spark, "run-log"), scratch.fresh_path(spark, "stops-stream")
+    log = scratch.stage(views.run_log(spark, sf_dir).select("run_id", "step", "eval_loss"), "run-log")
+    edge = log.agg(F.max("step")).first()[0] or 0
+    for part in range(3):
+        inside = (F.col("step") > edge * part // 3) & (F.col("step") <= edge * (part + 1) // 3)
+        log.where(inside).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(log.schema).parquet(source)
+        early_stop_stream(stream, path, f"{path}-checkpoint").awaitTermination()
     return latest_states(spark, path).drop("last_step", "late_rows")
 
 
@@ -410,7 +489,11 @@ def queries() -> dict[str, Query]:
         "score_text_columns": score_text_columns,
         "choose_columns": choose_columns,
         "infer_columns": infer_columns,
+        "summed_columns": summed_columns,
         "retention_report": retention_report,
+        "reject_breakdown": reject_breakdown,
+        "split_overlap": split_overlap,
+        "token_stats": token_stats_query,
         "total_size": total_size,
         "eval_summary": eval_summary,
         "run_summary": run_summary,
@@ -423,20 +506,28 @@ def queries() -> dict[str, Query]:
         "build_vocab": _vocab,
         "encode": encode_query,
         "decode": decode_query,
+        "encode_blocks": encode_blocks,
+        "decode_blocks": decode_blocks,
         "attention_mask": _on(_tokenized, lambda: dict(attention_mask=_csv("attention_mask"))),
         "mask_labels": _on(_tokenized, lambda: dict(labels=_csv("labels"))),
         "prompt_len": _on(_tokenized, lambda: dict(prompt_len=tokens.prompt_len("labels"))),
         "target_ids": target_ids,
         "tokenize_pairs": tokenize_pairs_query,
+        "tokenize_pairs_with": tokenize_pairs_with_query,
         "length_batches": length_batches,
         "pad_batches": pad_batches,
+        "padding_waste": padding_waste,
         "step_plan": step_plan,
         "perplexity": perplexity,
         "run_perplexity": run_perplexity,
         "early_stop": early_stop,
+        "early_stop_threshold": early_stop_threshold,
+        "early_stop_higher": early_stop_higher,
         "best_checkpoint": best_checkpoint,
         "thin_log": thin_log,
         "format_log": format_log,
+        "split_diff_by_file": split_diff_by_file,
+        "read_patches": read_patches,
         "generate_batch": generate_batch,
         "generation_results": generation_results,
         "eval_records": eval_records,

@@ -69,12 +69,12 @@ pairs AS (
       WHEN 0 THEN regexp_extract(text, '\\A[^.\\n]*', 0)
       WHEN 1 THEN 'fix' WHEN 2 THEN 'FIXED' WHEN 3 THEN 'WIP ' WHEN 4 THEN '' WHEN 5 THEN 'ab'
       WHEN 6 THEN 'two words' WHEN 7 THEN 'Fixes #123 in parser'
-      WHEN 8 THEN 'Refactor the parser code' WHEN 9 THEN 'See <URL> for details'
+      WHEN 8 THEN 'Refactor the parser code' WHEN 9 THEN 'Look at <URL> for more'
       WHEN 10 THEN 'Bump #<I> to latest' WHEN 11 THEN 'Closes' || chr(10) || 'the open issue'
       WHEN 12 THEN 'Fixes the bug' || chr(10) || chr(10) || 'Long body text here'
       WHEN 13 THEN chr(12288) || 'Add new option' || chr(160)
       WHEN 14 THEN 'fix the crash in parser' WHEN 15 THEN 'fix #123'
-      WHEN 16 THEN 'See <url> for details' WHEN 17 THEN 'Add <HASH> lookup table'
+      WHEN 16 THEN 'Look at <url> for more' WHEN 17 THEN 'Add <HASH> lookup table'
       WHEN 18 THEN '- add a bullet' WHEN 19 THEN 'closest pair search added'
       WHEN 20 THEN 'resolve: odd case here' WHEN 21 THEN 'Closed, as agreed' END AS message,
     CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split
@@ -214,6 +214,22 @@ messages AS (
   SELECT *, {strip("substr(generated, length(prompt) + 1)")} AS commit_message FROM predictions)"""
 
 
+FOLDED = """
+fold AS (
+  SELECT run_id, rn, v AS best_value, step AS best_step, CAST(NULL AS DOUBLE) AS previous_best, 0 AS counter,
+    CAST(NULL AS BIGINT) AS stop_step
+  FROM evals WHERE rn = 1
+  UNION ALL
+  SELECT e.run_id, e.rn, CASE WHEN e.v < f.best_value - 0.25 THEN e.v ELSE f.best_value END,
+    CASE WHEN e.v < f.best_value - 0.25 THEN e.step ELSE f.best_step END,
+    CASE WHEN e.v < f.best_value - 0.25 THEN f.best_value ELSE f.previous_best END,
+    CASE WHEN e.v < f.best_value - 0.25 THEN 0 ELSE f.counter + 1 END,
+    CASE WHEN NOT e.v < f.best_value - 0.25 AND f.counter + 1 >= 5 THEN e.step END
+  FROM fold f JOIN evals e ON e.run_id = f.run_id AND e.rn = f.rn + 1 WHERE f.stop_step IS NULL),
+ended AS (SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY rn DESC) = 1)
+"""
+
+
 def chat(ending: str) -> str:
     return f"""
 WITH msgs AS (
@@ -263,7 +279,7 @@ texts AS (
         .replace("FROM ids i", "FROM ids2 i")
         .replace("texts AS", "texts2 AS")
     )
-    return {
+    found = {
         # sources and sinks
         "load_pairs": _with(PAIRS, body="SELECT pair_id, diff, message, split FROM pairs"),
         "split_inventory": _with(
@@ -371,7 +387,37 @@ texts AS (
             "message_column FROM pairs p LEFT JOIN chosen c USING (pair_id) WHERE p.split = 'train' ORDER BY "
             "p.pair_id LIMIT 1",
         ),
+        "summed_columns": _with(
+            PAIRS,
+            SCORES,
+            "sums AS (SELECT name, min(CASE name WHEN 'diff' THEN 1 ELSE 2 END) AS pos, sum(d) AS d, sum(m) AS m "
+            "FROM long GROUP BY name)",
+            body="SELECT d.name AS diff_column, CASE WHEN d.name = m.name THEN coalesce((SELECT name FROM sums "
+            "WHERE name <> d.name), d.name) ELSE m.name END AS message_column FROM (SELECT name FROM sums ORDER "
+            "BY d DESC, pos LIMIT 1) d, (SELECT name FROM sums ORDER BY m DESC, pos LIMIT 1) m",
+        ),
         # aggregations
+        "reject_breakdown": _with(
+            *base,
+            body="SELECT split, CASE WHEN diff_short THEN 'diff_short' WHEN diff_long THEN 'diff_long' WHEN "
+            "is_empty THEN 'empty' WHEN in_stoplist THEN 'stoplist' WHEN few_chars THEN 'few_chars' WHEN few_words "
+            "THEN 'few_words' WHEN is_reference THEN 'reference' WHEN has_placeholder THEN 'placeholder' END AS "
+            "reason, count(*) AS n_rows FROM kept GROUP BY ALL",
+        ),
+        "split_overlap": _with(
+            PAIRS,
+            NORM,
+            body="SELECT split, count(*) AS n_rows, count(*) FILTER (message IN (SELECT message FROM norm WHERE "
+            "split = 'train')) AS n_in_train FROM norm WHERE split <> 'train' GROUP BY split",
+        ),
+        "token_stats": _with(
+            *tok,
+            body="SELECT split, count(*) AS n_rows, CAST(sum(len(input_ids)) AS BIGINT) AS n_tokens, "
+            "CAST(max(len(input_ids)) AS INTEGER) AS longest, quantile_cont(len(input_ids), 0.5)::DOUBLE AS median, "
+            f"count(*) FILTER (len(input_ids) >= {MAX_LENGTH}) AS n_full, "
+            "CAST(sum(len(labels) - prompt_size) AS BIGINT) AS n_targets, "
+            "count(*) FILTER (len(labels) = prompt_size) AS n_without_target FROM tokenized GROUP BY split",
+        ),
         "retention_report": _with(
             *base,
             body="SELECT split, count(*) AS before, count(*) FILTER (good_message AND NOT diff_short AND NOT "
@@ -419,6 +465,13 @@ texts AS (
         "decode": _with(
             *tok, decoded.format(part="input_ids"), body="SELECT pair_id, text FROM texts"
         ),
+        "tokenize_pairs_with": _with(
+            *base,
+            f"made AS (SELECT pair_id, split, list_transform(string_split(diff || {SEP} || message || '<|endoftext|>', ''), "
+            f"lambda c: unicode(c))[1:{MAX_LENGTH}] AS input_ids, least(length(diff || {SEP}), {MAX_LENGTH}) AS p FROM clean)",
+            body=f"SELECT pair_id, split, {csv('input_ids')} AS input_ids, {csv('[1 for x in input_ids]')} AS "
+            f"attention_mask, {csv('[-100 for x in input_ids[1:p]] || input_ids[p + 1:]')} AS labels FROM made",
+        ),
         "attention_mask": _with(
             *tok, body=f"SELECT pair_id, {csv('attention_mask')} AS attention_mask FROM tokenized"
         ),
@@ -456,6 +509,14 @@ SELECT batch_id, width, string_agg(pair_id, ',' ORDER BY batch_pos) AS pair_ids,
   string_agg(l, ';' ORDER BY batch_pos) AS labels
 FROM padded GROUP BY batch_id, width""",
         ),
+        "padding_waste": _with(
+            *tok,
+            BATCHED,
+            "widths AS (SELECT batch_id, count(*) * CAST(ceil(max(len(input_ids)) / 8.0) * 8 AS BIGINT) AS places, "
+            "sum(len(input_ids)) AS used FROM batched GROUP BY batch_id)",
+            body="SELECT CAST(sum(places) AS BIGINT) AS places, CAST(sum(places - used) AS BIGINT) AS padding, "
+            "round(100.0::DOUBLE * sum(places - used)::DOUBLE / sum(places)::DOUBLE, 6) AS padding_pct FROM widths",
+        ),
         "step_plan": _with(
             *tok,
             BATCHED,
@@ -472,6 +533,12 @@ FROM padded GROUP BY batch_id, width""",
         "round(exp(min(CASE WHEN event_type = 'error' THEN 1 + value / 100 END)), 9) AS test_perplexity FROM "
         "events GROUP BY user_id",
         "early_stop": _with(RUN_LOG, EARLY_STOP, body=stop_body),
+        "early_stop_threshold": "WITH RECURSIVE "
+        + ",".join((RUN_LOG, EARLY_STOP, FOLDED))
+        + "SELECT run_id, best_value, best_step, previous_best, counter, stop_step FROM ended",
+        "early_stop_higher": _with(
+            RUN_LOG, EARLY_STOP.replace("min(eval_loss)", "max(eval_loss)").replace("v < prev", "v > prev"), body=stop_body
+        ),
         "best_checkpoint": _with(
             RUN_LOG,
             body="SELECT run_id, first(step ORDER BY eval_loss, step) AS best_step, min(eval_loss) AS eval_loss "
@@ -482,9 +549,21 @@ FROM padded GROUP BY batch_id, width""",
             RUN_LOG,
             body="SELECT run_id, step, 'Step ' || step || ': ' || CASE WHEN eval_loss IS NULL THEN '' ELSE "
             "'eval_loss=' || printf('%.4f', eval_loss) || ', ' END || 'scaled=' || printf('%.4f', step / "
-            "32768.0::DOUBLE) AS line FROM run_log WHERE step % 900 = 0",
+            "32768.0::DOUBLE) || ', perplexity=' || CAST(3 * CAST(pow(2::DOUBLE, (step // 300) % 40 + 50) AS HUGEINT) AS "
+            "VARCHAR) || '.0000' AS line FROM run_log WHERE step % 900 = 0",
         ),
         # generation, review, chat
+        "split_diff_by_file": _with(
+            PAIRS,
+            "cut AS (SELECT pair_id, list_filter(string_split(replace(chr(10) || diff, chr(10) || 'diff --git ', "
+            "chr(10) || chr(1) || 'diff --git '), chr(1)), lambda x: true) AS parts FROM pairs WHERE diff <> ''), "
+            "named AS (SELECT pair_id, list_filter(list_transform(parts, lambda x, i: CASE WHEN i = 1 THEN substr(x, 2) "
+            "ELSE x END), lambda x: x <> '') AS parts FROM cut)",
+            body="SELECT pair_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS part, unnest(parts) AS diff "
+            "FROM named",
+        ),
+        "read_patches": "SELECT doc_id, replace(replace(text, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n') "
+        "AS diff FROM documents WHERE text <> ''",
         "generate_batch": _with(
             *base,
             body=f"SELECT pair_id, diff || {SEP} AS prompt, 'Update ' || length({sent}) || ' characters' AS "
@@ -511,3 +590,4 @@ FROM padded GROUP BY batch_id, width""",
         "clean_pairs_stream": _with(*base, body=clean_body),
         "early_stop_stream": _with(RUN_LOG, EARLY_STOP, body=stop_body),
     }
+    return found | {"encode_blocks": found["encode"], "decode_blocks": found["decode"]}

@@ -47,16 +47,16 @@ def load_or_tokenize(
     df: DataFrame,
     cache: str,
     vocab_size: int,
+    dataset: str,
     max_length: int = C.MAX_LENGTH,
     separator: str = C.SEPARATOR,
     caps: Mapping[str, int] = C.CAPS,
     seed: int = C.SHUFFLE_SEED,
-    dataset: str = "",
     **thresholds,
 ) -> DataFrame:
     """Tokenised splits from the cache, else made and cached.
 
-    `dataset` names the input in the fingerprint; the vocabulary is learned on the kept train
+    `dataset` names the input in the fingerprint, so give another input another name; the vocabulary is learned on the kept train
     pairs.
     """
     spark = df.sparkSession
@@ -79,4 +79,4 @@ def load_or_tokenize(
     save_token_cache(
         tokenize_pairs(kept, vocab, separator=separator, max_length=max_length), cache, digest
     )
-    return spark.read.parquet(cache)
+    return load_token_cache(spark, cache, digest)

@@ -9,7 +9,6 @@ from pairprep import constants as C
 from pairprep.functions.text import build_prompt, word_count
 from pairprep.operators.cleaning import clean_pairs
 from pairprep.operators.ranking import bucket_offsets
-from pairprep.sources.pairs import spread
 
 HEADER = "diff --git a/f b/f"
 
@@ -23,14 +22,14 @@ MESSAGES = {
     6: "two words",
     7: "Fixes #123 in parser",
     8: "Refactor the parser code",
-    9: "See <URL> for details",
+    9: "Look at <URL> for more",
     10: "Bump #<I> to latest",
     11: "Closes\nthe open issue",
     12: "Fixes the bug\n\nLong body text here",
     13: "\u3000Add new option\xa0",
     14: "fix the crash in parser",
     15: "fix #123",
-    16: "See <url> for details",
+    16: "Look at <url> for more",
     17: "Add <HASH> lookup table",
     18: "- add a bullet",
     19: "closest pair search added",
@@ -76,7 +75,7 @@ def _split() -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return read(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,15 +22,6 @@ def load_pairs(
     return df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the files are too few to give every core a part.
-
-    A table with at least as many file parts as cores, so any large one, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def save_pairs(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).partitionBy(C.SPLIT).parquet(path)
 

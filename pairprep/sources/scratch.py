@@ -16,7 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
     return _local_dir(spark.sparkContext.applicationId)
 
@@ -26,8 +27,33 @@ def _local_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"pairprep-{application}-")
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of the shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return [x.getPath().getName() for x in found]
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this driver; for the end of a job, when its results are
+    written and nothing that was read from them is used any more."""
+    while _made:
+        remove(spark, _made.pop())
 
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:

@@ -4,37 +4,68 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
+from pairprep.sources.scratch import names, remove
 
 # The leading underscore keeps the record out of the table's own file listing.
 _RECORD = "_pairprep_cache"
 
 
+def _plain(value: object) -> object:
+    """Settings as JSON values that do not depend on the process."""
+    if isinstance(value, dict):
+        return {str(k): _plain(v) for k, v in value.items()}
+    if isinstance(value, set | frozenset):
+        return sorted(map(_plain, value), key=repr)
+    if isinstance(value, list | tuple):
+        return [_plain(v) for v in value]
+    if value is None or isinstance(value, str | int | float | bool):
+        return value
+    raise TypeError(f"a setting of type {type(value).__name__} has no stable form")
+
+
 def fingerprint(**settings: object) -> str:
     """Digest of the settings that decide the arrays."""
-    text = json.dumps(settings, sort_keys=True, default=str)
+    text = json.dumps(_plain(settings), sort_keys=True)
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def save_token_cache(df: DataFrame, path: str, settings_digest: str, mode: str = "overwrite") -> None:
-    """Arrays first, record last: a job that dies in between leaves no usable cache.
+def _record_of(spark: SparkSession, path: str):
+    schema = "splits array<string>, digest string, folder string"
+    try:
+        return spark.read.schema(schema).json(f"{path}/{_RECORD}").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def save_token_cache(df: DataFrame, path: str, settings_digest: str) -> None:
+    """Arrays into a folder of their own, then the record that names it: until the record changes
+    the old cache is whole and in use. Other arrays, also of a job that failed, go last. One writer
+    at a time.
 
     The record lists the splits the table holds, which is a handful of names.
     """
     spark = df.sparkSession
-    df.write.mode(mode).partitionBy(C.SPLIT).parquet(path)
+    folder = f"arrays-{uuid.uuid4().hex}"
+    df.write.partitionBy(C.SPLIT).parquet(f"{path}/{folder}")
     record = (
-        spark.read.parquet(path)
+        spark.read.parquet(f"{path}/{folder}")
         .groupBy()
         .agg(F.array_sort(F.collect_set(C.SPLIT)).alias("splits"))
-        .withColumn("digest", F.lit(settings_digest))
+        .withColumns({"digest": F.lit(settings_digest), "folder": F.lit(folder)})
     )
     record.write.mode("overwrite").json(f"{path}/{_RECORD}")
+    for name in names(spark, path):
+        if name.startswith("arrays-") and name != folder:
+            remove(spark, f"{path}/{name}")
 
 
 def load_token_cache(
@@ -43,12 +74,8 @@ def load_token_cache(
     settings_digest: str,
     splits: tuple[str, ...] = C.SPLITS,
 ) -> DataFrame | None:
-    """The cached table, or None unless it is complete and made with these settings."""
-    try:
-        record = spark.read.schema("splits array<string>, digest string").json(f"{path}/{_RECORD}")
-        found = record.first()
-        if found is None or found.digest != settings_digest or not set(splits) <= set(found.splits):
-            return None
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The cached table, or None unless it is there, complete and made with these settings."""
+    found = _record_of(spark, path)
+    if found is None or found.digest != settings_digest or not set(splits) <= set(found.splits or ()):
         return None
+    return spark.read.parquet(f"{path}/{found.folder}")

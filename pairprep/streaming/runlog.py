@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pairprep import constants as C
 from pairprep.operators.runlog import CHUNK_STEPS, early_stop
+from pairprep.sources.scratch import names, remove
 
 _RESULT = ("best_value", "best_step", "previous_best", "counter", "stop_step")
 
@@ -79,7 +80,8 @@ def advance_stops(
 def early_stop_stream(
     sdf: DataFrame, path: str, checkpoint: str, run: str = "run_id", **settings
 ) -> StreamingQuery:
-    """Keep the state of every run up to date below `path`, one snapshot a trigger.
+    """Keep the state of every run up to date below `path`, one snapshot a trigger, of which the
+    last two stay.
 
     Rows of a run must come in step order from trigger to trigger, in any order inside one. A
     trigger that is repeated starts from the snapshot before it and overwrites its own, so the
@@ -94,13 +96,14 @@ def early_stop_stream(
         state = spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
         after = advance_stops(state, batch, run=run, **settings)
         after.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        # The one before is still needed if this trigger is repeated.
+        remove(spark, f"{path}/batch={batch_id - 2}")
 
     writer = sdf.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(save).start()
 
 
 def latest_states(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot."""
-    snapshots = spark.read.parquet(path)
-    newest = snapshots.agg(F.max("batch")).first()[0]
-    return snapshots.where(F.col("batch") == newest).drop("batch")
+    """The newest snapshot, found by its name."""
+    newest = max(int(n.removeprefix("batch=")) for n in names(spark, path) if n.startswith("batch="))
+    return spark.read.parquet(f"{path}/batch={newest}")

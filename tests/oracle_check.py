@@ -80,7 +80,7 @@ def main() -> int:
     sql = entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if sys.argv[2:] and name not in sys.argv[2:] or name not in sql:
             continue
         began = time.perf_counter()
         try:

@@ -1,7 +1,7 @@
 from pairprep import constants as C
 from pairprep.functions.text import build_training_text
 from pairprep.operators.evaluation import eval_records, sample_count, sample_prompts
-from pairprep.operators.generation import generate_batch, generation_results
+from pairprep.operators.generation import generate_batch, generation_results, split_diff_by_file
 from pairprep.operators.tokenizing import tokenize_pairs
 from pairprep.operators.vocabulary import build_vocab
 from pyspark.sql import functions as F
@@ -42,6 +42,29 @@ def test_eval_records(spark):
     samples = tokenize_pairs(pairs, vocab, max_length=40)
     prompts = sample_prompts(samples, vocab)
     answers = prompts.where("pair_id <> 3").select("pair_id", F.concat("prompt", F.lit("  Said so\n")).alias("generated"))
-    records = eval_records(samples, answers, vocab)
+    records = eval_records(prompts, answers)
     assert [tuple(r) for r in records.collect()] == [(1, "+ a b" + C.SEPARATOR, "Said so", "Add b now")]
     assert sample_count(records).first().n_samples == 1
+
+
+def test_a_filter_sees_what_the_model_said(spark):
+    """A model that answers differently every time is asked once per row."""
+
+    def random_model():
+        import random
+
+        return lambda prompts: [p + f"{random.random():.4f}" for p in prompts]
+
+    df = spark.createDataFrame([(i, f"x {i}") for i in range(300)], "pair_id int, diff string")
+    high = generate_batch(df, random_model).where(F.col("commit_message") > "0.5")
+    assert high._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    said = [r.commit_message for r in high.collect()]
+    assert 80 < len(said) < 220 and min(said) > "0.5"
+
+
+def test_split_diff_by_file(spark):
+    one, two = "diff --git a/x b/x\n+1\n", "diff --git a/y b/y\n+ diff --git no header"
+    rows = [(1, one + two), (2, "before\n" + one), (3, "plain"), (4, ""), (5, None)]
+    df = spark.createDataFrame(rows, "pair_id int, diff string")
+    got = sorted(tuple(r) for r in split_diff_by_file(df).collect())
+    assert got == [(1, 0, one), (1, 1, two), (2, 0, "before\n"), (2, 1, one), (3, 0, "plain")]

@@ -111,6 +111,8 @@ def test_eval_summary(spark):
     got = {r.split: (r.loss, r.perplexity) for r in L.eval_summary(df).collect()}
     assert got["test"][0] == 1.75 and math.isclose(got["test"][1], math.exp(1.75))
     assert got["train"] == (None, None)
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", None, 9)], "split string, loss double, n_target int")
+    assert L.eval_summary(df).first().loss == 1.0
 
 
 def test_run_summary(spark):
@@ -127,6 +129,9 @@ def test_fixed4_rounds_like_a_c_library(evaluate):
     values = [0.0, -0.0, 2.00005, 5e-05, -1e-05, 1.03125, 0.03125, 1e20, 123456.78905, math.inf, -math.inf, math.nan]
     values += [k / 32 for k in range(-70, 70)] + [(2 * k + 1) / 20000 for k in range(3000)]
     values += [rng.uniform(-50, 50) for _ in range(500)] + [rng.uniform(0, 1e12) for _ in range(200)]
+    values += [math.exp(50), 1e23, 1e300, 1.7976931348623157e308, 2.0**53, 2.0**63, -(2.0**64)]
+    values += [rng.choice([-1, 1]) * rng.random() * 2.0 ** rng.randint(40, 1023) for _ in range(400)]
+    values += [2.0**n for n in range(50, 1024, 7)]
     assert evaluate(fixed4, values, "double") == ["%.4f" % v for v in values]
 
 

@@ -39,12 +39,6 @@ def test_split_inventory(pairs):
     assert got == {"train": (10, names), "validation": (10, names), "test": (20, names)}
 
 
-def test_spread(spark, pairs):
-    assert P.spread(pairs.coalesce(1), "pair_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = pairs.repartition(50)
-    assert P.spread(many, "pair_id") is many
-
-
 def test_read_patches(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     files = {"a.patch": "diff --git é\n+x\r\n", "deep/b.patch": "", "deep/c.patch": "one line"}
@@ -82,17 +76,54 @@ def test_token_cache(spark, tmp_path):
 def test_load_or_tokenize_reuses_only_its_own_settings(spark, pairs, tmp_path):
     path = str(tmp_path / "tokens")
     caps = {"train": 5, "validation": 100, "test": 3}
-    made = load_or_tokenize(pairs, path, 50, caps=caps)
+    made = load_or_tokenize(pairs, path, 50, "pairs", caps=caps)
     assert {r.split: r["count"] for r in made.groupBy("split").count().collect()} == {
         "train": 5,
         "validation": 10,
         "test": 3,
     }
-    again = load_or_tokenize(pairs.where("false"), path, 50, caps=caps)
+    again = load_or_tokenize(pairs.where("false"), path, 50, "pairs", caps=caps)
     assert again.count() == 18
     with pytest.raises(ValueError):
-        load_or_tokenize(pairs.where("false"), path, 51, caps=caps)
+        load_or_tokenize(pairs.where("false"), path, 51, "pairs", caps=caps)
 
 
 def test_shared_dir_comes_from_the_session(spark):
     assert scratch.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_fingerprint_does_not_depend_on_the_process(tmp_path):
+    import subprocess
+    import sys
+
+    code = "from pairprep.sources.token_cache import fingerprint as f; print(f(a={'x', 'y', 'z'}, b={'k': (1, 2)}))"
+    made = {
+        subprocess.run([sys.executable, "-c", code], env={"PYTHONHASHSEED": seed, "PYTHONPATH": ":".join(sys.path)}, capture_output=True, text=True).stdout
+        for seed in ("1", "2", "3")
+    }
+    assert len(made) == 1 and len(made.pop().strip()) == 64
+    with pytest.raises(TypeError):
+        TC.fingerprint(a=object())
+
+
+def test_cache_stays_whole_until_the_new_one_is(spark, pairs, tmp_path):
+    path = str(tmp_path / "cache")
+    TC.save_token_cache(pairs, path, "old")
+
+    broken = pairs.selectExpr("*", "raise_error('stop') AS late")
+    with pytest.raises(Exception):
+        TC.save_token_cache(broken, path, "new")
+    assert TC.load_token_cache(spark, path, "old", ("train",)).count() == pairs.count()
+    TC.save_token_cache(pairs.limit(5), path, "new")
+    assert TC.load_token_cache(spark, path, "old", ("train",)) is None
+    assert len(list((tmp_path / "cache").glob("arrays-*"))) == 1
+
+
+def test_other_splits_that_share_texts(spark):
+    from pairprep.operators.cleaning import reject_breakdown, split_overlap
+
+    rows = [("train", "d\r\n", "m"), ("train", "e", None), ("test", " d", "m"), ("test", "e", ""), ("test", "f", "m"), ("validation", "x", "y")]
+    df = spark.createDataFrame(rows, "split string, diff string, message string")
+    assert {tuple(r) for r in split_overlap(df).collect()} == {("test", 3, 2), ("validation", 1, 0)}
+    assert {tuple(r) for r in split_overlap(df, ("message",)).collect()} == {("test", 3, 3), ("validation", 1, 0)}
+    assert {tuple(r) for r in reject_breakdown(df).collect()} == {(s, "diff_short", n) for s, n in (("train", 2), ("test", 3), ("validation", 1))}
