@@ -145,11 +145,12 @@ def run_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A loss and a target length for every raw pair."""
+    """A loss, missing for one pair in eleven, and a target length for every raw pair."""
+    loss = 1 + F.length(F.coalesce(C.DIFF, F.lit(""))) % 500 / F.lit(100.0)
     return pairs(spark, sf_dir).select(
         C.KEY,
         C.SPLIT,
-        (1 + F.length(F.coalesce(C.DIFF, F.lit(""))) % 500 / F.lit(100.0)).alias("loss"),
+        F.when(F.col(C.KEY) % 11 != 0, loss).alias("loss"),
         word_count(C.MESSAGE).alias("n_target"),
     )
 
