@@ -241,12 +241,14 @@ def repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(row, first, last): starts of strings that start elsewhere too, as ranges, for every row of
     `docs`(_doc, _hash, _text)."""
     runs = _sketch(docs)
-    shared = runs.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core")
+    # Counts are written before they are joined: a join right behind an aggregate keeps all rows of
+    # a key in one task, one of two tables is split where a key is common.
+    shared = stage(runs.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "cores")
     left = stage(runs.join(shared, "core", "left_semi"), "runs")
     kinds = stage(
         left.groupBy("core", "run").agg(F.count("*").alias("n"), F.min(F.struct(*ROW, "first")).alias("one")), "kinds"
     )
-    mixed = kinds.groupBy("core").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1")
+    mixed = stage(kinds.groupBy("core").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1"), "mixed")
     whole = left.join(kinds.where("n > 1"), ["core", "run"], "left_semi").select(*ROW, "first", "last")
     # One run of each kind stands for all of it where kinds of one core have to be compared.
     chosen = kinds.join(mixed, "core").select("core", "run", "one.*", "n_kinds")
