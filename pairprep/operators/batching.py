@@ -12,7 +12,7 @@ from pairprep.operators.ranking import global_hash_rank
 MEGABATCH_BATCHES = 50
 
 
-def length_batches(
+def plan_batches(
     df: DataFrame,
     batch_size: int = C.BATCH_SIZE,
     seed: int = C.SAMPLE_SEED,
@@ -20,11 +20,11 @@ def length_batches(
     length: str | None = None,
     ids: str = "input_ids",
 ) -> DataFrame:
-    """Add (megabatch, batch_id, batch_pos): seeded order, cut into megabatches of 50 batches,
+    """(key, megabatch, batch_id, batch_pos): seeded order, cut into megabatches of 50 batches,
     each sorted by length, longest first, and cut into batches. Only the last batch is short.
 
-    Every window is small by construction: a hash bucket, then one megabatch. The order is made of
-    key and length alone, and the rows are moved once, to join it; hand in a stored table.
+    Only key and length are read and moved; hand in a stored table. Every window is small by
+    construction: a hash bucket, then one megabatch.
     """
     rows = MEGABATCH_BATCHES * batch_size
     size = F.col(length) if length else F.size(ids)
@@ -32,7 +32,7 @@ def length_batches(
         "megabatch", F.floor(F.col("_rank") / rows)
     )
     window = Window.partitionBy("megabatch").orderBy(F.desc("_size"), "_rank")
-    planned = (
+    return (
         ranked.withColumn("_at", F.row_number().over(window) - 1)
         .withColumns(
             {
@@ -42,7 +42,18 @@ def length_batches(
         )
         .drop("_rank", "_at", "_size")
     )
-    return df.join(planned, key)
+
+
+def length_batches(
+    df: DataFrame,
+    batch_size: int = C.BATCH_SIZE,
+    seed: int = C.SAMPLE_SEED,
+    key: str = C.KEY,
+    length: str | None = None,
+    ids: str = "input_ids",
+) -> DataFrame:
+    """The rows with their place in `plan_batches`, those of a megabatch together."""
+    return df.join(plan_batches(df, batch_size, seed, key, length, ids), key).repartition("megabatch")
 
 
 def pad_batches(
@@ -54,13 +65,14 @@ def pad_batches(
     """One row per batch with its arrays padded to the longest, rounded up to `multiple`, and
     padding, the number of places that hold no token.
 
-    A group never holds more than batch_size rows.
+    Grouping starts from the megabatch the rows are already partitioned by, so no shuffle is
+    added, and a group never holds more than batch_size rows.
     """
     row = F.struct("batch_pos", key, "input_ids", "attention_mask", "labels")
     longest = F.array_max(F.transform("_rows", lambda r: F.size(r["input_ids"])))
     width = (F.ceil(longest / multiple) * multiple).cast("int")
     return (
-        batched.groupBy("batch_id")
+        batched.groupBy("megabatch", "batch_id")
         .agg(F.array_sort(F.collect_list(row)).alias("_rows"))
         .withColumn("width", width)
         .select(

@@ -294,8 +294,8 @@ def decode_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def length_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batched = batching.length_batches(_token_table(spark, sf_dir))
-    return batched.select(C.KEY, "megabatch", "batch_id", "batch_pos")
+    planned = batching.plan_batches(_token_table(spark, sf_dir))
+    return planned.select(C.KEY, "megabatch", "batch_id", "batch_pos")
 
 
 def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +313,7 @@ def padding_waste(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def step_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = batching.step_plan(batching.length_batches(_token_table(spark, sf_dir)))
+    planned = batching.step_plan(batching.plan_batches(_token_table(spark, sf_dir)))
     return planned.select(C.KEY, "micro_batch", "optimizer_step")
 
 
