@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairprep.llm.batches import small_batches
 from pairprep.llm.chat_schema import OP4_SQL, op4_chat_schema
 from pairprep.llm.packing import op1_packing
 from pairprep.llm.pii_boost import op9_pii_boost
@@ -19,7 +21,6 @@ from pairprep.llm.zip_warc import OP7_SQL, op7_zip_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-
 OPERATORS = (
     op1_packing,
     op2_quality_fm,
@@ -34,8 +35,17 @@ OPERATORS = (
 )
 
 
+def _in_small_batches(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in OPERATORS}
+    return {q.__name__: _in_small_batches(q) for q in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
