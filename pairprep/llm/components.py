@@ -17,21 +17,21 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) long pairs to (node, root): root is the smallest node that can be reached.
 
-    Every step only groups by a node with a combinable minimum and joins that back, so a node with
-    very many neighbours is split by adaptive execution; every round is written to the shared
-    folder. Rows of one node, loops and repeats are allowed; nodes without an edge do not appear.
+    Every step only groups by a node with a combinable minimum, writes that and joins it back, so a
+    node with very many neighbours is split by adaptive execution (it cannot split a join that
+    stands right behind an aggregate); every round is written to the shared folder. Rows of one node, loops and repeats are allowed; nodes without an edge do not appear.
     """
     high, low = F.greatest("u", "v"), F.least("u", "v")
     now = stage(edges.where("u <> v").select(high.alias("u"), low.alias("v")).distinct(), "edges")
     state = _state(now)
     while state[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = (
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
         large = stage(large, "edges")
-        parent = large.groupBy("u").agg(F.min("v").alias("m"))
+        parent = stage(large.groupBy("u").agg(F.min("v").alias("m")), "parent")
         moved = large.join(parent, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = stage(moved.union(parent.select("u", F.col("m").alias("v"))).distinct(), "edges")
         now, before = after, state

@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     fps = stage(held.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
     roots = components(fingerprint_links(fps.select("fp"))).withColumnRenamed("node", "fp")
     rooted = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
     named = rooted.join(least, "root").select("fp", "component_id")
     return held.join(named, "fp").select("doc_id", "fp", "component_id")
 
