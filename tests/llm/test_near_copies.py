@@ -90,3 +90,10 @@ def test_copies_beyond_four_bits(docs):
 
 def test_empty_table(docs):
     assert N.keep_one(docs([(1, "x")]).limit(0)).count() == 0
+
+
+def test_rows_not_ids_are_kept(docs):
+    first, second, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, first), (1, second), (2, first), (3, third), (None, third), (None, second), (None, "alone"), (None, "alone")]
+    assert kept_of(docs(rows)) == sorted([(1, first), (1, second), (3, third), (None, "alone")], key=str)
+    assert kept_of(docs([(4, first), (4, first)])) == [(4, first)]
