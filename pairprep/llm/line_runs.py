@@ -32,7 +32,6 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
 FAN_OUT = 2
-BUCKETS = 32
 KEYS_PER_BUCKET = 4_000_000
 HEAVY_KEYS = 10_000
 BLANKS = " \t\n\x0b\x0c\r"
@@ -81,9 +80,12 @@ def with_batches(places: DataFrame, docs: DataFrame, key: str, batches: int) ->
 
 
 class LineRuns:
-    """A family of sorted runs on the shared storage, to which batches of lines are added."""
+    """A family of sorted runs on the shared storage, to which batches of lines are added.
 
-    def __init__(self, spark: SparkSession, buckets: int = BUCKETS, fan_out: int = FAN_OUT):
+    With as many buckets as shuffle partitions a batch moves once, and every task writes one file.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int, fan_out: int = FAN_OUT):
         self.spark, self.buckets, self.fan_out = spark, buckets, fan_out
         self.levels: list[list[tuple[str, str]]] = []
 
@@ -151,7 +153,7 @@ def _merged(runs: list[DataFrame]) -> DataFrame:
 
 
 def repeated_keys(
-    places: DataFrame, min_docs: int, batches: int, buckets: int = BUCKETS, fan_out: int = FAN_OUT
+    places: DataFrame, min_docs: int, batches: int, buckets: int, fan_out: int = FAN_OUT
 ) -> DataFrame:
     """(key, n, holder) of the lines that min_docs or more rows hold, as a written table."""
     family = LineRuns(places.sparkSession, buckets, fan_out)
@@ -189,7 +191,8 @@ def drop_repeated_lines(
     found = with_batches(line_places(docs, text, key, min_chars), docs, key, batches)
     places = stage(found, "line-places", ("batch",))
     total = places.agg(F.count_if("first")).first()[0]
-    keys = repeated_keys(places, min_docs, batches, max(BUCKETS, total // KEYS_PER_BUCKET))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // KEYS_PER_BUCKET)
+    keys = repeated_keys(places, min_docs, batches, buckets)
     drop = _places_to_drop(places, keys, total)
     # The rows go in one struct, so that no column of the caller's can be taken for one of these.
     rows = docs.select(
