@@ -3,8 +3,8 @@
 Candidates grow level by level, and no frequent phrase can be missed: phrases of k words are counted
 by a 64-bit hash, and only where both phrases of k - 1 words inside passed; those passes look into a
 bitmap of BITS bits that holds all hashes found often enough, so a hash that meets another only lets
-one candidate more through. Texts then give the phrases behind the hashes once, and these, with all
-words in them, go into tries over word numbers: a double array in which state s has a child for word
+one candidate more through. Every text has one of CLASSES classes, and the texts of the smallest class
+that has a phrase then give its words. These phrases, with all words in them, go into tries over word numbers: a double array in which state s has a child for word
 w at place base[s] + w where check is s. A trie holds at most BLOCK phrases, is broadcast, and every
 task moves the states of all its text positions with numpy, one word further at a time, and counts
 accepting states; Spark sums the tasks' counts. These counts are exact and all that scores are made
@@ -20,7 +20,8 @@ is by count, then phrase; a language without candidates, and an empty table, giv
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +45,9 @@ CHUNK = 4_000_000
 COUNTS = 2_000_000
 BITS = 1 << 27
 BITMAP_BITS = 1 << 15  # of one group of Spark's bitmap_construct_agg
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 SALTS = 64
+CLASSES = 1 << 16
 
 _KINDS = bytes(2 if c in PIECE_ENDS else 1 if c in WORD_ENDS else 0 for c in range(256))
 
@@ -58,13 +60,15 @@ class Words:
     distinct: pa.Array
     codes: np.ndarray
     pieces: np.ndarray
+    classes: np.ndarray  # of the texts that the words are from
 
     def together(self, size: int) -> np.ndarray:
         """Whether the size words from each place on are in one piece; size - 1 places less."""
         return self.pieces[: len(self.pieces) - size + 1] == self.pieces[size - 1 :]
 
 
-def words_in(language: str, data: bytes) -> Words:
+def words_in(language: str, data: bytes, classes: np.ndarray | None = None, begins: np.ndarray | None = None) -> Words:
+    """The words of texts put together; `begins` says from which byte on each class counts."""
     data = data.lower()  # of bytes: A-Z only
     kinds = np.frombuffer(data.translate(_KINDS), np.uint8)
     edges = np.diff(np.concatenate(([0], (kinds == 0).view(np.int8), [0])))
@@ -74,7 +78,10 @@ def words_in(language: str, data: bytes) -> Words:
     buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters)]
     coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
     pieces = np.searchsorted(np.flatnonzero(kinds == 2), starts)
-    return Words(language, coded.dictionary, np.asarray(coded.indices), pieces)
+    if classes is None:
+        classes, begins = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+    words_before = np.append(np.searchsorted(starts, begins), len(starts))
+    return Words(language, coded.dictionary, np.asarray(coded.indices), pieces, np.repeat(classes, np.diff(words_before)))
 
 
 def _cut(data: bytes) -> Iterator[bytes]:
@@ -111,8 +118,13 @@ def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 
 def _flushed(waiting: dict[str, list[bytes]]) -> Iterator[Words]:
     for language, texts in waiting.items():
+        classes = np.array([zlib.crc32(t) & (CLASSES - 1) for t in texts], np.uint64)
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        at = 0
         for part in _cut(b"\n".join(texts)):  # a line end keeps the texts apart
-            words = words_in(language, part)
+            inside = slice(max(np.searchsorted(begins, at, "right") - 1, 0), np.searchsorted(begins, at + len(part)))
+            words = words_in(language, part, classes[inside], np.maximum(begins[inside] - at, 0))
+            at += len(part)
             if len(words.codes):
                 yield words
 
@@ -173,46 +185,63 @@ def _may_pass(words: Words, size: int, hashes: list[np.ndarray], bits: np.ndarra
     return together & shorter[: len(together)] & shorter[1 : len(together) + 1]
 
 
-def _combined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    counts = np.bincount(back, np.concatenate([n for _, n in parts])).astype(np.int64)
-    return keys, counts
+def _combined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, the sums of their counts, their smallest classes."""
+    keys, counts, classes = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+    if not len(first):
+        return keys, counts, classes
+    return keys[first], np.add.reduceat(counts[order], first), np.minimum.reduceat(classes[order], first)
 
 
 def count_hashes(texts: DataFrame, size: int, bits: np.ndarray | None) -> DataFrame:
-    """(hash, n) over all texts, of the phrases of this size whose parts passed; for words also the
-    rows (language, null, n) with all words of a language."""
+    """(hash, n, owner) over all texts, of the phrases of this size whose parts passed; owner is the
+    smallest class of a text that has the phrase. Rows with a lang and no hash count all its words."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         totals: dict[str, int] = {}
         for words in words_of(batches):
-            hashes = list(phrase_hashes(words, size))
-            wanted = hashes[-1][_may_pass(words, size, hashes, shared.value)]
             totals[words.language] = totals.get(words.language, 0) + len(words.codes)
-            parts.append(np.unique(wanted, return_counts=True))
+            hashes = list(phrase_hashes(words, size))
+            wanted = np.flatnonzero(_may_pass(words, size, hashes, shared.value))
+            parts.append(_combined([(hashes[-1][wanted], np.ones(len(wanted), np.int64), words.classes[wanted])]))
             held += len(parts[-1][0])
             if held > COUNTS:
                 parts = [_combined(parts)]
                 held = len(parts[0][0])
                 if held > COUNTS // 2:
-                    yield _rows(parts[0])
+                    yield rows(parts[0])
                     parts, held = [], 0
         if parts:
-            yield _rows(_combined(parts))
-        if size == 1 and totals:
-            yield _rows((np.array(list(totals.values())),), list(totals))
+            yield rows(_combined(parts))
+        if totals:
+            empty = pa.nulls(len(totals), pa.int64())
+            arrays = [pa.array(list(totals)), empty, pa.array(list(totals.values())), empty.cast(pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "hash", "n", "owner"])
+
+    def rows(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        keys, counts, classes = found
+        arrays = [pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(classes.astype(np.int32))], ["lang", "hash", "n", "owner"])
+
+    counted = texts.mapInArrow(run, "lang string, hash long, n long, owner int")
+    return counted.groupBy("lang", "hash").agg(F.sum("n").alias("n"), F.min("owner").alias("owner"))
+
+
+def owned(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """A hash together with a class, as in `owned_hashes`."""
+    return hashes ^ (classes << np.uint64(8)) ^ (classes << np.uint64(40))
 
-    def _rows(found: tuple, languages: list[str] | None = None) -> pa.RecordBatch:
-        n = pa.array(found[-1], pa.int64())
-        key = pa.nulls(len(n), pa.int64()) if languages else pa.array(found[0].view(np.int64))
-        names = pa.array(languages, pa.string()) if languages else pa.nulls(len(n), pa.string())
-        return pa.RecordBatch.from_arrays([names, key, n], ["lang", "hash", "n"])
 
-    counted = texts.mapInArrow(run, "lang string, hash long, n long")
-    return counted.groupBy("lang", "hash").agg(F.sum("n").alias("n"))
+def owned_hashes(counted: DataFrame) -> DataFrame:
+    owner = F.col("owner").cast("long")
+    mark = F.shiftleft(owner, 8).bitwiseXOR(F.shiftleft(owner, 40))
+    return counted.select(F.col("hash").bitwiseXOR(mark).alias("hash"))
 
 
 def _phrases(words: Words, size: int, places: np.ndarray) -> pa.Array:
@@ -221,21 +250,20 @@ def _phrases(words: Words, size: int, places: np.ndarray) -> pa.Array:
 
 
 def phrases_behind(texts: DataFrame, bitmaps: dict[int, np.ndarray]) -> DataFrame:
-    """Distinct (lang, phrase) of all phrases whose hash is in the bitmap of its size."""
+    """Distinct (lang, phrase) behind the hashes: a phrase is given by texts of its owner's class
+    alone, whose `owned` hash is in the bitmap of its size. About one text in CLASSES is of a class,
+    so a phrase comes once or a few times, however many texts have it."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.empty(0, np.uint64)
         for words in words_of(batches):
             hashes = list(phrase_hashes(words, max(shared.value)))
             for size, bits in shared.value.items():
                 of_size = hashes[size - 1]
-                places = np.flatnonzero(words.together(size) & in_bitmap(bits, of_size))
-                fresh, first = np.unique(of_size[places], return_index=True)
-                new = ~np.isin(fresh, seen, assume_unique=True)
-                found = _phrases(words, size, places[first[new]])
-                # A forgotten hash only brings its phrase once more.
-                seen = np.concatenate((seen, fresh[new])) if len(seen) < COUNTS else fresh[new]
+                mine = words.together(size) & in_bitmap(bits, owned(of_size, words.classes[: len(of_size)]))
+                places = np.flatnonzero(mine)
+                _, first = np.unique(of_size[places], return_index=True)
+                found = _phrases(words, size, places[first])
                 names = pa.array([words.language] * len(found), pa.string())
                 yield pa.RecordBatch.from_arrays([names, found], ["lang", "phrase"])
 
@@ -304,16 +332,16 @@ class _Places:
         self.n_words = n_words
         self.end = n_words + 1  # places up to here may be taken
         size = 2 * (n_words + 1) + 1
-        self.base = np.zeros(size, np.int64)
-        self.check = np.full(size, -1, np.int64)
+        self.base = np.zeros(size, np.int32)
+        self.check = np.full(size, -1, np.int32)
         self.check[1 : n_words + 1] = 0
         self.chance = np.random.default_rng(0)
 
     def _grow(self, size: int) -> None:
         if size > len(self.check):
-            more = max(size, 2 * len(self.check)) - len(self.check)
-            self.base = np.concatenate((self.base, np.zeros(more, np.int64)))
-            self.check = np.concatenate((self.check, np.full(more, -1, np.int64)))
+            more = max(size, len(self.check) * 5 // 4) - len(self.check)
+            self.base = np.concatenate((self.base, np.zeros(more, np.int32)))
+            self.check = np.concatenate((self.check, np.full(more, -1, np.int32)))
 
     def children(self, parents: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Place the children (sorted by parent, then word) and return their states."""
@@ -357,7 +385,7 @@ class _Places:
         negative, since children lie behind all single words."""
         size = max(self.end, int(self.base.max()) + self.n_words + 1)
         self._grow(size)
-        return self.base[:size].astype(np.int32), self.check[:size].astype(np.int32)
+        return self.base[:size], self.check[:size]
 
 
 def advance(trie: Trie, words: Words, size: int) -> Iterator[np.ndarray]:
@@ -381,12 +409,12 @@ def advance(trie: Trie, words: Words, size: int) -> Iterator[np.ndarray]:
         yield states
 
 
-def count_in_trie(texts: DataFrame, trie: Trie, accepting: np.ndarray, size: int) -> DataFrame:
-    """(state, n) of the accepting states that occur, over all texts."""
-    shared = texts.sparkSession.sparkContext.broadcast((trie, np.unique(accepting)))
+def count_in_trie(texts: DataFrame, trie: Trie, accepting: np.ndarray, ids: np.ndarray, size: int) -> DataFrame:
+    """(id, n) of the phrases that occur, over all texts; ids[i] is that of state accepting[i]."""
+    shared = texts.sparkSession.sparkContext.broadcast((trie, accepting, ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, wanted = shared.value
+        trie, accepting, ids = shared.value
         counts = np.zeros(len(trie.check), np.int64)
         reached: list[np.ndarray] = []
         for words in words_of(batches):
@@ -396,26 +424,29 @@ def count_in_trie(texts: DataFrame, trie: Trie, accepting: np.ndarray, size: int
                 reached = []
         if reached:
             counts += np.bincount(np.concatenate(reached), minlength=len(counts))
-        found = wanted[counts[wanted] > 0]
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["state", "n"])
+        found = counts[accepting]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[found > 0]), pa.array(found[found > 0])], ["id", "n"])
 
-    return texts.mapInArrow(run, "state long, n long").groupBy("state").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def count_phrases(texts: DataFrame, phrases: DataFrame, size: int, block: int = BLOCK) -> DataFrame:
     """(lang, phrase, n) over all texts, in as many tries as it takes; a written table."""
     spark = texts.sparkSession
+    phrases = stage(phrases.withColumn("id", F.monotonically_increasing_id()), "phrases")
     n_blocks = -(-phrases.count() // block)
     counted = None
     for number in range(n_blocks):
-        part = phrases.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_blocks)) == number).toArrow()
-        columns = [part.column(c).combine_chunks() for c in ("lang", "phrase")]
-        trie, states = build_trie(*columns)
-        names = spark.createDataFrame(pa.table([pa.array(states), *columns], ["state", "lang", "phrase"]))
-        named = count_in_trie(texts, trie, states, size).join(names, "state")
-        found = stage(named.select("lang", "phrase", "n"), "phrase-counts")
-        counted = found if counted is None else counted.unionByName(found)
-    return counted if counted is not None else spark.createDataFrame([], "lang string, phrase string, n long")
+        mine = phrases.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_blocks)) == number)
+        part = mine.toArrow()
+        trie, states = build_trie(*[part.column(c).combine_chunks() for c in ("lang", "phrase")])
+        found = stage(count_in_trie(texts, trie, states, part.column("id").to_numpy(), size), "phrase-counts")
+        del part, trie, states
+        named = mine.join(found, "id").select("lang", "phrase", "n")
+        counted = named if counted is None else counted.unionByName(named)
+    if counted is None:
+        return spark.createDataFrame([], "lang string, phrase string, n long")
+    return stage(counted, "counted-phrases")
 
 
 # scores
@@ -488,18 +519,20 @@ def collocations(
     texts = docs.select(
         F.coalesce(F.col(language), F.lit(UNKNOWN_LANGUAGE)).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    words = stage(count_hashes(texts, 1, None).where(F.col("lang").isNotNull() | (F.col("n") >= min_count)), "words")
-    bits, bitmaps = bitmap_of(words.where("hash IS NOT NULL")), {}
-    for size in range(2, max_words + 1):
-        often = stage(count_hashes(texts, size, bits).where(F.col("n") >= min_count), "phrase-hashes")
-        bits = bitmaps[size] = bitmap_of(often.select("hash"))
+    bits, bitmaps, totals = None, {}, None
+    for size in range(1, max_words + 1):
+        often = count_hashes(texts, size, bits).where(F.col("lang").isNotNull() | (F.col("n") >= min_count))
+        often = stage(often, "phrase-hashes")
+        totals = totals or often.where("hash IS NULL").select("lang", F.col("n").alias("_n"))
+        often = often.where("hash IS NOT NULL")
+        bits = bitmap_of(often)
+        if size > 1:
+            bitmaps[size] = bitmap_of(owned_hashes(often))
     found = phrases_behind(texts, bitmaps)
     single = F.explode(F.array_append(_words("phrase"), F.col("phrase"))).alias("phrase")
-    phrases = stage(found.select("lang", single).distinct(), "phrases")
-    counts = count_phrases(texts, phrases, max_words, block)
+    counts = count_phrases(texts, found.select("lang", single).distinct(), max_words, block)
     candidates = stage(scored(counts, min_count), "scored")
     ranked = first_of_each(without_parts(candidates, inside_percent), top)
-    totals = words.where("hash IS NULL").select("lang", F.col("n").alias("_n"))
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("_n").alias("n"), "score"
     )
