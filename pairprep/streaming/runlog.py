@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pairprep import constants as C
 from pairprep.operators.runlog import CHUNK_STEPS, early_stop
-from pairprep.sources.scratch import names, remove
 
 _RESULT = ("best_value", "best_step", "previous_best", "counter", "stop_step")
 
@@ -77,33 +80,97 @@ def advance_stops(
     return merged.select(run, *[value.alias(name) for name, value in columns.items()])
 
 
+# What Spark keeps of a run between triggers; one row, however long the run is.
+_STATE = (
+    "best_value double, best_step long, previous_best double, counter int, stop_step long, last_step long, "
+    "late_rows long"
+)
+
+
+def _advance_run(patience: int, threshold: float):
+    """Function of a run's key, new rows and stored state, for `applyInPandasWithState`."""
+
+    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        import numpy as np
+        import pandas as pd
+
+        new = [(f["step"].to_numpy(np.int64), f["value"].to_numpy(np.float64)) for f in frames]
+        steps, values = (np.concatenate(c) for c in zip(*new))
+        best, best_step, previous, counter, stop, last, late = state.get if state.exists else (None,) * 6 + (0,)
+        if last is not None:
+            fresh = steps > last
+            late += int(np.count_nonzero(~fresh))
+            steps, values = steps[fresh], values[fresh]
+        order = np.lexsort((values, steps))
+        if len(order):
+            last = int(steps[order[-1]])
+        for at in order.tolist() if stop is None else ():
+            value = float(values[at])
+            # A comparison with NaN is never an improvement.
+            if best_step is None or value < best - threshold:
+                best, best_step, previous, counter = value, int(steps[at]), best, 0
+            else:
+                counter += 1
+                if counter >= patience:
+                    stop = int(steps[at])
+                    break
+        row = (best, best_step, previous, counter, stop, last, late)
+        state.update(row)
+        columns = [c.split() for c in _STATE.split(", ")]
+        kinds = {name: {"double": "Float64", "long": "Int64", "int": "Int32"}[kind] for name, kind in columns}
+        made = {name: pd.array([value], kinds[name]) for (name, _), value in zip(columns, row)}
+        yield pd.DataFrame({"_run": [key[0]]} | made)
+
+    return advance
+
+
 def early_stop_stream(
-    sdf: DataFrame, path: str, checkpoint: str, run: str = "run_id", **settings
+    sdf: DataFrame,
+    path: str,
+    checkpoint: str,
+    patience: int = C.PATIENCE,
+    threshold: float = 0.0,
+    metric: str = "eval_loss",
+    lower_is_better: bool = True,
+    run: str = "run_id",
+    step: str = "step",
 ) -> StreamingQuery:
-    """Keep the state of every run up to date below `path`, one snapshot a trigger, of which the
-    last two stay.
-
-    Rows of a run must come in step order from trigger to trigger, in any order inside one. A
-    trigger that is repeated starts from the snapshot before it and overwrites its own, so the
-    result is the same. A run keeps its row for good, since rows after its stop must go on being
-    ignored.
+    """Keep the state of every run in Spark's state store, and write the runs that a trigger changes
+    to `path`, one folder a trigger; a run that has no new row is neither written nor moved.
+
+    Rows of a run must come in step order from trigger to trigger, in any order inside one; later
+    ones are counted, not used. A repeated trigger starts from the state before it and overwrites its
+    own folder. The new rows of one run in one trigger are one task's, as two numbers each, so limit
+    a trigger (`maxFilesPerTrigger`, `maxBytesPerTrigger`); a backlog with runs beyond that goes
+    through `early_stop` or `advance_stops`, which spread a run.
     """
     if not sdf.isStreaming:
         raise ValueError("early_stop_stream needs a streaming table; use early_stop")
+    if patience < 1:
+        raise ValueError("patience must be at least 1")
+    value = F.col(metric).cast("double")
+    rows = sdf.select(
+        F.col(run).alias("_run"), F.col(step).cast("long").alias("step"), (value if lower_is_better else -value).alias("value")
+    ).where(F.col("value").isNotNull())
+    run_type = rows.schema["_run"].dataType.simpleString()
+    changed = rows.groupBy("_run").applyInPandasWithState(
+        _advance_run(patience, threshold), f"_run {run_type}, {_STATE}", _STATE, "update", GroupStateTimeout.NoTimeout
+    )
+    # pandas hands a NaN over as null; a best value is never missing otherwise.
+    changed = changed.withColumn("best_value", F.coalesce("best_value", F.lit(float("nan"))))
+    if not lower_is_better:
+        changed = changed.withColumns({c: -F.col(c) for c in ("best_value", "previous_best")})
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
-        after = advance_stops(state, batch, run=run, **settings)
-        after.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        # The one before is still needed if this trigger is repeated.
-        remove(spark, f"{path}/batch={batch_id - 2}")
+        batch.withColumnRenamed("_run", run).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    writer = sdf.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(save).start()
+    writer = changed.writeStream.outputMode("update").trigger(availableNow=True)
+    return writer.option("checkpointLocation", checkpoint).foreachBatch(save).start()
 
 
-def latest_states(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot, found by its name."""
-    newest = max(int(n.removeprefix("batch=")) for n in names(spark, path) if n.startswith("batch="))
-    return spark.read.parquet(f"{path}/batch={newest}")
+def latest_states(spark: SparkSession, path: str, run: str = "run_id") -> DataFrame:
+    """The newest row of every run."""
+    changes = spark.read.parquet(path)
+    kept = [c for c in changes.columns if c not in (run, "batch")]
+    newest = changes.groupBy(run).agg(F.max_by(F.struct(*kept), "batch").alias("s"))
+    return newest.select(run, "s.*")

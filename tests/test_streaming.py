@@ -37,7 +37,7 @@ def test_stop_stream_equals_batch_over_several_triggers(spark, tmp_path, thresho
         piece.repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(log.schema).parquet(str(tmp_path / "in"))
         query = early_stop_stream(
-            stream, out, str(tmp_path / "state"), patience=4, threshold=threshold, lower_is_better=lower, chunk_steps=900
+            stream, out, str(tmp_path / "state"), patience=4, threshold=threshold, lower_is_better=lower
         )
         query.awaitTermination()
     got = latest_states(spark, out)
@@ -69,3 +69,25 @@ def test_repeated_trigger_gives_the_same_state(spark, tmp_path):
         (2, 1.0, 300, None, 0, None, 300, 0),
         (3, 4.0, 300, None, 0, None, 300, 0),
     }
+
+
+def test_a_trigger_writes_changed_runs_only(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    triggers = [
+        [(run, 300, 2.0) for run in range(40)],
+        [(3, 600, 1.0), (7, 600, float("nan")), (None, 300, 5.0)],
+        [(7, 300, 0.0), (41, 300, None)],
+    ]
+    updated = []
+    for rows in triggers:
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(source)
+        query = early_stop_stream(spark.readStream.schema(LOG).parquet(source), out, state, patience=1)
+        query.awaitTermination()
+        updated.append(sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["stateOperators"]))
+    assert updated == [40, 3, 1]
+    written = spark.read.parquet(out).groupBy("batch").count().orderBy("batch").collect()
+    assert [r["count"] for r in written] == updated
+    found = {r.run_id: r for r in latest_states(spark, out).collect()}
+    assert len(found) == 41 and (found[3].best_value, found[3].previous_best, found[3].stop_step) == (1.0, 2.0, None)
+    assert (found[7].stop_step, found[7].counter, found[7].late_rows) == (600, 1, 1)
+    assert found[None].best_value == 5.0
