@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from pairprep import constants as C
 from pairprep.functions.tokens import pad_to
-from pairprep.operators.ranking import global_hash_rank
+from pairprep.operators.ranking import global_hash_rank, partition_by_rank
 
 MEGABATCH_BATCHES = 50
+PART = "batch_part"
 
 
 def plan_batches(
@@ -26,14 +27,18 @@ def plan_batches(
     Only key and length are read and moved; hand in a stored table. Every window is small by
     construction: a hash bucket, then one megabatch.
     """
-    rows = MEGABATCH_BATCHES * batch_size
     size = F.col(length) if length else F.size(ids)
-    ranked = global_hash_rank(df.select(key, size.alias("_size")), seed, key, "_rank").withColumn(
-        "megabatch", F.floor(F.col("_rank") / rows)
-    )
-    window = Window.partitionBy("megabatch").orderBy(F.desc("_size"), "_rank")
+    ranked = global_hash_rank(df.select(key, size.alias("_size")), seed, key, "_rank")
+    return _batched(ranked, batch_size)
+
+
+def _batched(ranked: DataFrame, batch_size: int, *parts: str) -> DataFrame:
+    """Add megabatch, batch_id and batch_pos to rows with _rank and _size."""
+    megabatch = F.floor(F.col("_rank") / (MEGABATCH_BATCHES * batch_size))
+    window = Window.partitionBy(*parts, "megabatch").orderBy(F.desc("_size"), "_rank")
     return (
-        ranked.withColumn("_at", F.row_number().over(window) - 1)
+        ranked.withColumn("megabatch", megabatch)
+        .withColumn("_at", F.row_number().over(window) - 1)
         .withColumns(
             {
                 "batch_id": F.col("megabatch") * MEGABATCH_BATCHES + F.floor(F.col("_at") / batch_size),
@@ -52,8 +57,13 @@ def length_batches(
     length: str | None = None,
     ids: str = "input_ids",
 ) -> DataFrame:
-    """The rows with their place in `plan_batches`, those of a megabatch together."""
-    return df.join(plan_batches(df, batch_size, seed, key, length, ids), key).repartition("megabatch")
+    """The rows with their place in `plan_batches`, and batch_part, the partition they lie in.
+
+    The rows move once, to partitions that hold whole megabatches; hand in a stored table.
+    """
+    size = F.col(length) if length else F.size(ids)
+    ranked = partition_by_rank(df, seed, key, MEGABATCH_BATCHES * batch_size, PART, "_rank")
+    return _batched(ranked.withColumn("_size", size), batch_size, PART)
 
 
 def pad_batches(
@@ -65,14 +75,15 @@ def pad_batches(
     """One row per batch with its arrays padded to the longest, rounded up to `multiple`, and
     padding, the number of places that hold no token.
 
-    Grouping starts from the megabatch the rows are already partitioned by, so no shuffle is
-    added, and a group never holds more than batch_size rows.
+    Grouping starts from the part the rows are already partitioned by, so no shuffle is added, and
+    a group never holds more than batch_size rows.
     """
+    groups = [c for c in (PART, "megabatch", "batch_id") if c in batched.columns]
     row = F.struct("batch_pos", key, "input_ids", "attention_mask", "labels")
     longest = F.array_max(F.transform("_rows", lambda r: F.size(r["input_ids"])))
     width = (F.ceil(longest / multiple) * multiple).cast("int")
     return (
-        batched.groupBy("megabatch", "batch_id")
+        batched.groupBy(*groups)
         .agg(F.array_sort(F.collect_list(row)).alias("_rows"))
         .withColumn("width", width)
         .select(

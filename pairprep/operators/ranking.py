@@ -15,6 +15,8 @@ from pairprep.sources.scratch import stage
 PLACE_BITS = 33
 HASH_DIGITS = 4
 HASH_BUCKETS = 16**HASH_DIGITS
+# Groups of rows that stay one partition while there are as many partitions as the session shuffles into.
+GROUPS_TOGETHER = 64
 
 
 def seeded_hash(seed: int, *keys: str) -> Column:
@@ -54,6 +56,52 @@ def global_hash_rank(df: DataFrame, seed: int, key: str, out: str = "rank") -> D
     )
 
 
+def partition_by_rank(df: DataFrame, seed: int, key: str, group_rows: int, part: str, out: str = "rank") -> DataFrame:
+    """The rows with `out`, their zero-based position in the seeded order, and `part`, the number of
+    the partition they lie in: whole groups of group_rows positions, in order.
+
+    The rows themselves move once. Where each partition begins is found on keys alone: buckets are
+    counted, and only those buckets are numbered that a partition begins in. What is broadcast is a row
+    per bucket and a (hash, key) per partition, of either at most HASH_BUCKETS. Hand in a stored table.
+    """
+    session = df.sparkSession
+    keys = df.select(key, seeded_hash(seed, key).alias("_hash"))
+    keys = keys.withColumn("_bucket", hash_bucket("_hash"))
+    offsets = stage(bucket_offsets(keys.select("_bucket"), "_bucket"), "offsets")
+    total = offsets.agg(F.max(F.col("rows_before") + F.col("bucket_rows"))).first()[0] or 0
+    groups = -(-total // group_rows)
+    wanted = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-groups // GROUPS_TOGETHER))
+    together = max(-(-groups // min(wanted, HASH_BUCKETS)), 1)
+    rows, parts = together * group_rows, max(-(-groups // together), 1)
+
+    # Of the positions rows, 2 * rows, ... that begin a partition, those inside a bucket.
+    first = F.greatest(F.ceil(F.col("rows_before") / rows), F.lit(1)) * rows
+    begins = offsets.where(first < F.col("rows_before") + F.col("bucket_rows")).select("_bucket", "rows_before")
+    inside = Window.partitionBy("_bucket").orderBy("_hash", key)
+    position = F.col("rows_before") + F.row_number().over(inside) - 1
+    numbered = keys.join(F.broadcast(begins), "_bucket").withColumn("_at", position)
+    cuts = numbered.where((F.col("_at") > 0) & (F.col("_at") % rows == 0)).groupBy("_bucket").agg(
+        F.collect_list(F.struct("_hash", key)).alias("_cuts")
+    )
+    before = F.greatest(F.ceil(F.col("rows_before") / rows) - 1, F.lit(0)).cast("int")
+    table = offsets.join(cuts, "_bucket", "left").select("_bucket", before.alias("_before"), "_cuts")
+    own = F.struct("_hash", key)
+    passed = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= own)), F.lit(0))
+    placed = (
+        df.withColumn("_hash", seeded_hash(seed, key))
+        .withColumn("_bucket", hash_bucket("_hash"))
+        .join(F.broadcast(table), "_bucket")
+        .withColumn(part, F.col("_before") + passed)
+        .drop("_bucket", "_before", "_cuts")
+    )
+    order = Window.partitionBy(part).orderBy("_hash", key)
+    return (
+        placed.repartitionById(parts, part)
+        .withColumn(out, F.col(part).cast("long") * rows + F.row_number().over(order) - 1)
+        .drop("_hash")
+    )
+
+
 def global_rank(df: DataFrame, order: tuple[Column, ...], out: str = "rank") -> DataFrame:
     """Zero-based position of every row in any order, ties broken arbitrarily.
 

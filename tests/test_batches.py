@@ -45,12 +45,40 @@ def test_batches_and_padding(tokens, rows, size):
         assert row.labels == [[-100] + ids[1:] + [-100] * (width - len(ids)) for _, ids in batch]
 
 
-def test_padding_adds_no_shuffle(tokens):
-    def shuffles(df):
-        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
-
-    batched = length_batches(tokens)
-    assert shuffles(pad_batches(batched)) == shuffles(batched)
+def test_wide_rows_move_once(tokens):
+    """One exchange carries the arrays, and neither the windows nor padding add one."""
+    plan = pad_batches(length_batches(tokens))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    wide = [line for line in exchanges if "REPARTITION_BY_NUM" in line]
+    assert len(wide) == 1
+    narrow = [line for line in exchanges if line not in wide]
+    # The others are below the broadcast side, on keys.
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    assert all(indent(line) > indent(wide[0]) for line in narrow)
+
+
+@pytest.mark.parametrize("size, partitions", [(1, 3), (1, 64), (7, 2), (400, 4)])
+def test_parts_hold_whole_megabatches(spark, tokens, rows, size, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = length_batches(tokens.repartition(6), size).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = {}
+    for r in found:
+        parts.setdefault(r.megabatch, set()).add(r.batch_part)
+    assert all(len(p) == 1 for p in parts.values())
+    expected = [[k for k, _ in batch] for batch in plan(rows, size)]
+    got = {}
+    for r in sorted(found, key=lambda r: (r.batch_id, r.batch_pos)):
+        got.setdefault(r.batch_id, []).append(r.pair_id)
+    assert [got[b] for b in sorted(got)] == expected
+    assert found[0].asDict().keys() >= {"input_ids", "labels", "batch_pos"}
+
+
+def test_no_rows(tokens):
+    assert pad_batches(length_batches(tokens.limit(0))).count() == 0
 
 
 def test_steps(tokens):
