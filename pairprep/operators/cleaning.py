@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
@@ -53,6 +55,37 @@ def retention_report(
     )
 
 
+def clean_pairs_counted(
+    df: DataFrame,
+    diff: str = C.DIFF,
+    message: str = C.MESSAGE,
+    split: str = C.SPLIT,
+    splits: Sequence[str] = C.SPLITS,
+    **thresholds,
+) -> tuple[DataFrame, Observation]:
+    """What `clean_pairs` returns, and its counts per split, which are there once the rows have been
+    used: the pass that writes them counts them, and the raw table is read once."""
+    keep = keep_pair(diff, message, normalized=True, **thresholds)
+    judged = preprocess_pair(df, diff, message).select("*", F.inline(F.array(F.struct(keep.alias("_keep")))))
+    counted = Observation("retention")
+    of = [(s, F.col(split) == s) for s in splits]
+    counts = [F.count_if(rows).alias(f"before_{s}") for s, rows in of]
+    counts += [F.count_if(rows & F.col("_keep")).alias(f"after_{s}") for s, rows in of]
+    return judged.observe(counted, *counts).where("_keep").drop("_keep"), counted
+
+
+def retention_of(
+    spark: SparkSession, counted: Observation, split: str = C.SPLIT, splits: Sequence[str] = C.SPLITS
+) -> DataFrame:
+    """`retention_report` from the counts of `clean_pairs_counted`; waits for the first use of its rows.
+    Splits without a row are left out, as they are there."""
+    found = counted.get
+    rows = [(s, found[f"before_{s}"], found[f"after_{s}"]) for s in splits if found[f"before_{s}"]]
+    return spark.createDataFrame(rows, f"{split} string, before long, after long").withColumn(
+        "kept_pct", 100.0 * F.col("after") / F.col("before")
+    )
+
+
 def total_size(df: DataFrame) -> DataFrame:
     """Rows over all splits."""
     return df.agg(F.count("*").alias("n_rows"))

@@ -11,12 +11,13 @@ from pairprep import constants as C
 from pairprep.functions import metrics, rules, text, tokens
 from pairprep.operators import batching, chat, cleaning, columns, evaluation, generation, runlog
 from pairprep.operators.sampling import cap_splits, eval_sample
+from pairprep.operators.subwords import decode_subwords, encode_subwords, tokenize_pairs_subwords
 from pairprep.operators.tokenizing import token_stats, tokenize_pairs, tokenize_pairs_with
 from pairprep.operators.vocabulary import build_vocab, decode, encode
 from pairprep.plans import views
 from pairprep.plans.prepare import get_splits
 from pairprep.sources import pairs as pair_source
-from pairprep.sources import predictions, scratch, token_cache
+from pairprep.sources import patches, predictions, scratch, token_cache
 from pairprep.streaming.cleaning import clean_pairs_stream, write_pairs_stream
 from pairprep.streaming.runlog import early_stop_stream, latest_states
 
@@ -28,6 +29,9 @@ SAMPLED = 20
 THIN_EVERY = 900
 THRESHOLD = 0.25
 SMALL_BLOCK = 40_000
+PATCH_RANGE = 1000
+SUBWORDS = "byte_bpe_50k.json"
+WHOLE = 1 << 30
 
 
 def _csv(col: Column | str) -> Column:
@@ -195,6 +199,13 @@ def retention_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.retention_report(views.pairs(spark, sf_dir))
 
 
+def clean_pairs_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of the very pass that writes the cleaned pairs."""
+    cleaned, counted = cleaning.clean_pairs_counted(views.pairs(spark, sf_dir))
+    scratch.stage(cleaned, "cleaned")
+    return cleaning.retention_of(spark, counted)
+
+
 def total_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.total_size(views.clean(spark, sf_dir))
 
@@ -279,6 +290,26 @@ def tokenize_pairs_with_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _printable(tokenize_pairs_with(views.clean(spark, sf_dir), lambda: _unicode_tokenizer()))
 
 
+def _subwords() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(SUBWORDS)
+
+
+def subword_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts to sub-word ids and back."""
+    coded = encode_subwords(views.documents(spark, sf_dir), _subwords(), "text", max_length=None)
+    return decode_subwords(coded.drop("text"), _subwords(), "ids").select("doc_id", "text")
+
+
+def subword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What prompt and target of every sub-word row say, nothing cut."""
+    rows = tokenize_pairs_subwords(views.clean(spark, sf_dir), _subwords(), max_length=WHOLE)
+    said = decode_subwords(rows.withColumn("p", tokens.prompt_ids("input_ids", "labels")), _subwords(), "p", "prompt")
+    said = decode_subwords(said.withColumn("t", tokens.target_ids("labels")), _subwords(), "t", "target")
+    return said.select(C.KEY, C.SPLIT, "prompt", "target")
+
+
 def encode_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a vocabulary that takes several blocks."""
     coded = encode(
@@ -381,6 +412,16 @@ def read_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(name.alias("doc_id"), F.btrim(C.DIFF, F.lit("\n")).alias(C.DIFF))
 
 
+def read_patch_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every diff written as a file of its own and read back in ranges that are shorter than most."""
+    path = scratch.fresh_path(spark, "patch-files")
+    rows = views.pairs(spark, sf_dir).where(rules.has_input(C.DIFF))
+    rows.select(F.col(C.DIFF).alias("value"), C.KEY).write.partitionBy(C.KEY).text(path)
+    found = patches.read_patch_sections(spark, path, PATCH_RANGE)
+    name = F.regexp_extract("path", rf"{C.KEY}=(-?[0-9]+)/", 1).cast("long")
+    return found.select(name.alias(C.KEY), "position", C.DIFF)
+
+
 def _factory() -> Callable[[], Callable[..., list[str]]]:
     """A stand-in model that answers from the whole prompt it was sent."""
 
@@ -491,6 +532,7 @@ def queries() -> dict[str, Query]:
         "infer_columns": infer_columns,
         "summed_columns": summed_columns,
         "retention_report": retention_report,
+        "clean_pairs_counted": clean_pairs_counted,
         "reject_breakdown": reject_breakdown,
         "split_overlap": split_overlap,
         "token_stats": token_stats_query,
@@ -506,6 +548,8 @@ def queries() -> dict[str, Query]:
         "build_vocab": _vocab,
         "encode": encode_query,
         "decode": decode_query,
+        "subword_round_trip": subword_round_trip,
+        "subword_pairs": subword_pairs,
         "encode_blocks": encode_blocks,
         "decode_blocks": decode_blocks,
         "attention_mask": _on(_tokenized, lambda: dict(attention_mask=_csv("attention_mask"))),
@@ -528,6 +572,7 @@ def queries() -> dict[str, Query]:
         "format_log": format_log,
         "split_diff_by_file": split_diff_by_file,
         "read_patches": read_patches,
+        "read_patch_sections": read_patch_sections,
         "generate_batch": generate_batch,
         "generation_results": generation_results,
         "eval_records": eval_records,

@@ -552,6 +552,12 @@ FROM padded GROUP BY batch_id, width""",
             "32768.0::DOUBLE) || ', perplexity=' || CAST(3 * CAST(pow(2::DOUBLE, (step // 300) % 40 + 50) AS HUGEINT) AS "
             "VARCHAR) || '.0000' AS line FROM run_log WHERE step % 900 = 0",
         ),
+        # sub-words
+        "subword_round_trip": "SELECT doc_id, text FROM documents",
+        "subword_pairs": _with(
+            *base,
+            body=f"SELECT pair_id, split, diff || {SEP} AS prompt, message || '<|endoftext|>' AS target FROM clean",
+        ),
         # generation, review, chat
         "split_diff_by_file": _with(
             PAIRS,
@@ -562,6 +568,16 @@ FROM padded GROUP BY batch_id, width""",
             body="SELECT pair_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS part, unnest(parts) AS diff "
             "FROM named",
         ),
+        "read_patch_sections": _with(
+            PAIRS,
+            "cut AS (SELECT pair_id, string_split(replace(chr(10) || diff || chr(10), chr(10) || 'diff --git ', "
+            "chr(10) || chr(1) || 'diff --git '), chr(1)) AS parts FROM pairs WHERE diff <> ''), "
+            "named AS (SELECT pair_id, list_filter(list_transform(parts, lambda x, i: CASE WHEN i = 1 THEN substr(x, 2) "
+            "ELSE x END), lambda x: x <> '') AS parts FROM cut), "
+            "flat AS (SELECT pair_id, generate_subscripts(parts, 1) AS part, unnest(parts) AS diff FROM named)",
+            body="SELECT pair_id, CAST(coalesce(sum(strlen(diff)) OVER (PARTITION BY pair_id ORDER BY part "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS position, diff FROM flat",
+        ),
         "read_patches": "SELECT doc_id, replace(replace(text, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n') "
         "AS diff FROM documents WHERE text <> ''",
         "generate_batch": _with(
@@ -590,4 +606,5 @@ FROM padded GROUP BY batch_id, width""",
         "clean_pairs_stream": _with(*base, body=clean_body),
         "early_stop_stream": _with(RUN_LOG, EARLY_STOP, body=stop_body),
     }
-    return found | {"encode_blocks": found["encode"], "decode_blocks": found["decode"]}
+    same = {"encode_blocks": "encode", "decode_blocks": "decode", "clean_pairs_counted": "retention_report"}
+    return found | {name: found[other] for name, other in same.items()}
