@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade, in DataFrame expressions only.
 
-Each rule says when a document fails. On a bounded sample (SAMPLE_ROWS rows) the share of documents
+Each rule says when a document fails. On a sample of bounded size (about SAMPLE_ROWS rows) the share of documents
 that a rule rejects and the time that it takes are measured; rules are then asked in the order of
 rejections per cost, and a document that one rejects is not asked the next. The verdict does not
 depend on the order, so neither does it depend on the sample or the clock.
@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 2000
+SAMPLE_SEED = 42
+SAMPLE_TASKS = 8
 BLANKS = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -130,12 +132,18 @@ def default_rules(text: str = "text") -> dict[str, Column]:
     }
 
 
-def measured(docs: DataFrame, rules: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS) -> list[tuple]:
+def sampled(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About sample_rows rows of the table, drawn where they lie; nothing but they moves."""
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    return docs.sample(fraction=share, seed=SAMPLE_SEED).repartition(SAMPLE_TASKS)
+
+
+def measured(sample: DataFrame, rules: Mapping[str, Column]) -> list[tuple]:
     """(rule, share of the sample that it rejects, seconds a row), the best first.
 
     The time of a rule is that of one pass over the stored sample, less that of a pass without.
     """
-    sample = docs.limit(sample_rows).persist()
+    sample = sample.persist()
     try:
         rows = sample.count()
 
@@ -171,7 +179,8 @@ def judge(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -
     """Add the metrics, base_failed, and failed_rule, null for what all rules let through."""
     rules = default_rules(text)
     scored = with_metrics(docs.drop("base_failed", "failed_rule"), text)
-    order = [name for name, _, _ in measured(scored.where(~base_failed()), rules, sample_rows)]
+    sample = with_metrics(sampled(docs.drop("base_failed", "failed_rule"), sample_rows), text).where(~base_failed())
+    order = [name for name, _, _ in measured(sample, rules)]
     verdict = F.when(F.col("base_failed"), "base").otherwise(cascade(rules, order))
     return scored.withColumn("base_failed", base_failed()).withColumn("failed_rule", verdict).drop("_words")
 

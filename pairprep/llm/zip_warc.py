@@ -33,8 +33,8 @@ from pairprep.sources.scratch import fresh_path, stage
 
 PACKAGE_BYTES = 64_000_000
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
-# Records read by one task.
-RECORDS_AT_ONCE = 2_000
+# Bytes of a package that one task reads.
+RANGE_BYTES = 8 << 20
 # Signatures and sizes of the ZIP format.
 LOCAL, CENTRAL, END, END64, LOCATOR = b"PK\3\4", b"PK\1\2", b"PK\5\6", b"PK\6\6", b"PK\6\7"
 LOCAL_FORM, CENTRAL_FORM = "<4s5H3L2H", "<4s6H3L5H2L"
@@ -344,9 +344,11 @@ def round_trip(spark: SparkSession, pages: DataFrame, min_revisit: int = 0) -> D
     """Write the pages to packages in the shared folder and read all records back."""
     folder = fresh_path(spark, "warc")
     packages = write_packages(pages, folder, min_revisit)
-    places = list_records(packages.repartition(F.col("path")), folder)
+    places = stage(list_records(packages.repartition(F.col("path")), folder), "record-places")
+    # Few bytes name many: the number of tasks follows the bytes to be read, not those of the table.
+    n_ranges = (places.agg(F.sum("length")).first()[0] or 0) // RANGE_BYTES + 1
     # Ranges of a package may go to several tasks; inside one they are read in order.
-    spread = places.repartition(F.col("path"), F.floor(F.col("offset") / (8 << 20)))
+    spread = places.repartition(n_ranges, F.col("path"), F.floor(F.col("offset") / RANGE_BYTES))
     return read_records(spread.sortWithinPartitions("path", "offset"), folder)
 
 

@@ -63,3 +63,11 @@ def test_ranks_over_many_buckets(spark, monkeypatch):
     assert len({(r.sequence_id, r.offset) for r in rows}) == 500
     assert {r.offset for r in rows} == {0, 300, 600}
     assert max(r.sequence_id for r in rows) == 166
+
+
+def test_very_long_runs_have_the_ids_of_the_contract():
+    tokenizer = Tokenizer.from_file(P.path(K.VOCABULARY))
+    encode = K._encoder()
+    for run in (" ", "\n", "a", "\t "):
+        text = run * (2_000_000 // len(run))
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids

@@ -65,3 +65,10 @@ def test_whole_operator(docs):
     got = sorted((r.doc_id, r.base_failed, r.failed_rule) for r in rows)
     assert got == [(1, False, None), (1, False, None), (2, True, "base"), (3, True, "base"), (4, False, "symbols")]
     assert R.judge(docs([(1, good)]).limit(0)).count() == 0
+
+
+def test_the_sample_is_drawn_from_all_rows_and_moves_only_itself(docs):
+    table = docs([(i, f"text {i}") for i in range(4000)]).repartition(8)
+    ids = [r.doc_id for r in R.sampled(table, 400).collect()]
+    assert len(ids) == len(set(ids)) and 300 < len(ids) < 500 and min(ids) < 400 and max(ids) > 3600
+    assert R.sampled(table, 10_000).count() == 4000 and R.sampled(table.limit(0)).count() == 0
