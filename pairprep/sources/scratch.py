@@ -56,6 +56,20 @@ def clean_up(spark: SparkSession) -> None:
         remove(spark, _made.pop())
 
 
+def made() -> int:
+    """Intermediate tables that are there, for `forget`."""
+    return len(_made)
+
+
+def forget(spark: SparkSession, before: int, but: tuple[str, ...] = ()) -> None:
+    """Remove the tables made since `before`, except those with the names in `but`: for the end of an
+    operator whose result no longer reads them."""
+    gone = [p for p in _made[before:] if p.rpartition("/")[2].rpartition("-")[0] not in but]
+    for path in gone:
+        _made.remove(path)
+        remove(spark, path)
+
+
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
     path = fresh_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
