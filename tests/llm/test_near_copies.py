@@ -97,3 +97,20 @@ def test_rows_not_ids_are_kept(docs):
     rows = [(1, first), (1, second), (2, first), (3, third), (None, third), (None, second), (None, "alone"), (None, "alone")]
     assert kept_of(docs(rows)) == sorted([(1, first), (1, second), (3, third), (None, "alone")], key=str)
     assert kept_of(docs([(4, first), (4, first)])) == [(4, first)]
+
+
+def test_columns_of_any_name_stay(docs):
+    text = " ".join(f"a{i}" for i in range(60))
+    table = docs([(1, text), (2, text), (3, "other")], "_row string, row string, _mark string, node string, digest string")
+    rows = N.keep_one(table).collect()
+    assert sorted((r.doc_id, r._row, r.row, r._mark, r.node, r.digest) for r in rows) == [(i, *"xxxxx") for i in (1, 3)]
+
+
+def test_intermediate_tables_go(spark, docs):
+    from pairprep.sources import scratch
+
+    text = " ".join(f"a{i}" for i in range(60))
+    before = scratch.made()
+    kept = N.keep_one(docs([(1, text), (2, text + " more"), (3, "other")]))
+    assert scratch.made() == before + 2  # the rows, and which of them are dropped
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
