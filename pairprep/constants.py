@@ -97,6 +97,18 @@ SPECIAL_TOKENS = (
 DEFAULT_SYSTEM = "You are a helpful assistant."
 TURN_START = "<|im_start|>"
 TURN_END = "<|im_end|>"
+TOOLS_BEFORE = (
+    "\n\n# Tools\n\nYou may call one or more functions to assist with the user query.\n\n"
+    "You are provided with function signatures within <tools></tools> XML tags:\n<tools>"
+)
+TOOLS_AFTER = (
+    "\n</tools>\n\nFor each function call, return a json object with function name and arguments within "
+    '<tool_call></tool_call> XML tags:\n<tool_call>\n{"name": <function-name>, "arguments": <args-json-object>}\n'
+    "</tool_call>"
+)
+CALL_START = '\n<tool_call>\n{"name": "'
+CALL_BETWEEN = '", "arguments": '
+CALL_END = "}\n</tool_call>"
 
 # Own vocabulary layout: two reserved ids, then tokens by frequency
 EOS_TOKEN = "<|endoftext|>"

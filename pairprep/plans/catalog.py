@@ -463,6 +463,10 @@ def render_chat_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render_chat(views.read(spark, sf_dir, "conversations"), add_generation_prompt=True)
 
 
+def render_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render_chat(views.tool_conversations(spark, sf_dir), tools=views.TOOLS, calls="tool_calls")
+
+
 # streaming
 
 
@@ -578,6 +582,7 @@ def queries() -> dict[str, Query]:
         "eval_records": eval_records,
         "render_chat": render_chat,
         "render_chat_prompt": render_chat_prompt,
+        "render_chat_tools": render_chat_tools,
         "clean_pairs_stream": clean_pairs_stream_query,
         "early_stop_stream": early_stop_stream_query,
     }

@@ -251,6 +251,52 @@ pieces AS (
 SELECT conv_id, string_agg(piece, '' ORDER BY turn){ending} AS text FROM pieces GROUP BY conv_id"""
 
 
+def chat_tools() -> str:
+    """`chat`, where assistant messages of odd turns call one tool or two."""
+    arguments = (
+        """'{"query": ' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ', "options": {"limit": ' || turn """
+        """|| ', "exact": ' || (conv_id % 2 = 0) || '}, "tags": ["a, b: c", "assistant"]}'"""
+    )
+    call = (
+        "chr(10) || '<tool_call>' || chr(10) || '{\"name\": \"{}\", \"arguments\": ' || " + arguments
+        + " || '}' || chr(10) || '</tool_call>'"
+    )
+    offered = (
+        "chr(10) || chr(10) || '# Tools' || chr(10) || chr(10) || 'You may call one or more functions to assist with the "
+        "user query.' || chr(10) || chr(10) || 'You are provided with function signatures within <tools></tools> XML "
+        "tags:' || chr(10) || '<tools>' || chr(10) || '{\"type\": \"function\", \"function\": {\"name\": \"look_up\", "
+        "\"parameters\": {\"query\": \"string\", \"limit\": \"integer\"}}}' || chr(10) || '{\"type\": \"function\", "
+        "\"function\": {\"name\": \"note\", \"description\": \"Keeps a \\\"note\\\", é\", \"parameters\": {}}}' || "
+        "chr(10) || '</tools>' || chr(10) || chr(10) || 'For each function call, return a json object with function "
+        "name and arguments within <tool_call></tool_call> XML tags:' || chr(10) || '<tool_call>' || chr(10) || "
+        "'{\"name\": <function-name>, \"arguments\": <args-json-object>}' || chr(10) || '</tool_call>'"
+    )
+    return f"""
+WITH msgs AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, text,
+    CASE WHEN role = 'assistant' AND turn % 2 = 1 THEN {call.replace("{}", "look_up")}
+      || CASE WHEN conv_id % 3 = 0 THEN {call.replace("{}", "note")} ELSE '' END ELSE '' END AS calls,
+    lag(coalesce(role, '')) OVER w AS prev, lead(coalesce(role, '')) OVER w AS next
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+said AS (
+  SELECT * REPLACE (CASE WHEN calls <> '' AND conv_id % 4 = 0 THEN '' ELSE coalesce(text, '') END AS text) FROM msgs),
+pieces AS (
+  SELECT conv_id, turn,
+    CASE WHEN prev IS NULL THEN '<|im_start|>system' || chr(10) || CASE WHEN role = 'system' THEN text
+      ELSE 'You are a helpful assistant.' END || {offered} || '<|im_end|>' || chr(10) ELSE '' END ||
+    CASE WHEN calls <> '' THEN '<|im_start|>assistant' || CASE WHEN text <> '' THEN chr(10) || text ELSE '' END
+        || calls || '<|im_end|>' || chr(10)
+      WHEN role = 'system' AND prev IS NULL THEN ''
+      WHEN role IN ('user', 'assistant', 'system')
+      THEN '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)
+      WHEN role = 'tool' THEN CASE WHEN coalesce(prev, '') <> 'tool' THEN '<|im_start|>user' ELSE '' END
+        || chr(10) || '<tool_response>' || chr(10) || text || chr(10) || '</tool_response>'
+        || CASE WHEN coalesce(next, '') <> 'tool' THEN '<|im_end|>' || chr(10) ELSE '' END
+      ELSE '' END AS piece
+  FROM said)
+SELECT conv_id, string_agg(piece, '' ORDER BY turn) AS text FROM pieces GROUP BY conv_id"""
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
@@ -602,6 +648,7 @@ FROM padded GROUP BY batch_id, width""",
         ),
         "render_chat": chat(""),
         "render_chat_prompt": chat(" || '<|im_start|>assistant' || chr(10)"),
+        "render_chat_tools": chat_tools(),
         # streaming
         "clean_pairs_stream": _with(*base, body=clean_body),
         "early_stop_stream": _with(RUN_LOG, EARLY_STOP, body=stop_body),

@@ -166,3 +166,27 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("prompt", said).alias("generated"),
         F.lit(0.0).alias("generation_time"),
     )
+
+
+# Signatures that the tool conversations are offered.
+TOOLS = (
+    {"type": "function", "function": {"name": "look_up", "parameters": {"query": "string", "limit": "integer"}}},
+    {"type": "function", "function": {"name": "note", "description": "Keeps a \"note\", é", "parameters": {}}},
+)
+
+
+def tool_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations; assistant messages of odd turns call one tool or two with their whole text
+    among the nested arguments, and some of them say nothing else."""
+    arguments = F.struct(
+        F.col("text").alias("query"),
+        F.struct(F.col("turn").alias("limit"), (F.col("conv_id") % 2 == 0).alias("exact")).alias("options"),
+        F.array(F.lit("a, b: c"), F.col("role")).alias("tags"),
+    )
+    call = lambda name: F.struct(F.lit(name).alias("name"), arguments.alias("arguments"))
+    one, two = F.array(call("look_up")), F.array(call("look_up"), call("note"))
+    calls = F.when(F.col("conv_id") % 3 == 0, two).otherwise(one)
+    calling = (F.col("role") == "assistant") & (F.col("turn") % 2 == 1)
+    silent = calling & (F.col("conv_id") % 4 == 0)
+    rows = read(spark, sf_dir, "conversations").withColumn("tool_calls", F.when(calling, calls))
+    return rows.withColumn("text", F.when(~silent, F.col("text")))
