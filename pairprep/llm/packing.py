@@ -26,6 +26,8 @@ from pairprep.sources.scratch import stage
 SEQUENCE = 1024
 END_ID = 0
 BUCKET_ROWS = 50_000
+# Ids handed on at once; the JVM and a worker hold them at the same time.
+IDS_AT_ONCE = 1_000_000
 VOCABULARY = "byte_bpe_50k.json"
 # Text that the tokenizer file maps to an id of its own; such texts take the slower library.
 SPECIAL = "<|endoftext|>"
@@ -90,7 +92,7 @@ def token_pieces(docs: DataFrame, size: int = SEQUENCE, end_id: int = END_ID) ->
                     for column, value in zip(rows, (doc.as_py(), at, len(part), len(ids), part.tobytes())):
                         column.append(value)
                     held += len(part)
-                if held > 4_000_000:
+                if held > IDS_AT_ONCE:
                     yield _batch(pa, rows)
                     rows, held = [[], [], [], [], []], 0
             if rows[0]:
