@@ -105,6 +105,16 @@ def token_cache_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _printable(cached)
 
 
+def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The train rows first, then all: the second update tokenises what the first has not."""
+    path, vocab = scratch.fresh_path(spark, "token-store"), _vocab(spark, sf_dir)
+    digest = token_cache.fingerprint(vocab_size=VOCAB_SIZE, max_length=C.MAX_LENGTH)
+    pairs = views.clean(spark, sf_dir)
+    tokenize = lambda rows: tokenize_pairs(rows, vocab, key="content")
+    token_cache.update_token_store(pairs.where(F.col(C.SPLIT) == "train"), tokenize, path, digest)
+    return _printable(token_cache.update_token_store(pairs, tokenize, path, digest))
+
+
 def predictions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.fresh_path(spark, "predictions-json")
     rows = views.predictions(spark, sf_dir).withColumn(
@@ -499,6 +509,7 @@ def queries() -> dict[str, Query]:
         "load_pairs": load_pairs,
         "split_inventory": split_inventory,
         "token_cache": token_cache_query,
+        "token_store": token_store,
         "predictions_json": predictions_json,
         "predictions_text": predictions_text,
         "normalize_newlines": _on_both_texts(text.normalize_newlines, "{}"),

@@ -654,4 +654,5 @@ FROM padded GROUP BY batch_id, width""",
         "early_stop_stream": _with(RUN_LOG, EARLY_STOP, body=stop_body),
     }
     same = {"encode_blocks": "encode", "decode_blocks": "decode", "clean_pairs_counted": "retention_report"}
+    same["token_store"] = "token_cache"
     return found | {name: found[other] for name, other in same.items()}

@@ -6,6 +6,7 @@ from pairprep.sources import pairs as P
 from pairprep.sources import predictions as O
 from pairprep.sources import scratch
 from pairprep.sources import token_cache as TC
+from pyspark.sql import functions as F
 
 DIFF = "+" + "x y " * 20
 
@@ -127,3 +128,36 @@ def test_other_splits_that_share_texts(spark):
     assert {tuple(r) for r in split_overlap(df).collect()} == {("test", 3, 2), ("validation", 1, 0)}
     assert {tuple(r) for r in split_overlap(df, ("message",)).collect()} == {("test", 3, 3), ("validation", 1, 0)}
     assert {tuple(r) for r in reject_breakdown(df).collect()} == {(s, "diff_short", n) for s, n in (("train", 2), ("test", 3), ("validation", 1))}
+
+
+def test_token_store_tokenises_new_contents_only(spark, tmp_path):
+    from pairprep.sources.token_cache import stored_folders, update_token_store
+
+    schema = "pair_id long, diff string, message string, split string"
+    old = [(i, f"+{i} old", f"Message {i}", "train") for i in range(90)]
+    new = [(i, f"+{i} new", None if i == 95 else "same", "test") for i in range(90, 100)]
+    seen = []
+
+    def tokenize(df):
+        seen.append(sorted(r.diff for r in df.collect()))
+        ids = F.array(F.length("diff"), F.coalesce(F.length("message"), F.lit(-1)))
+        return df.select("content", ids.alias("input_ids"), ids.alias("attention_mask"), ids.alias("labels"))
+
+    def update(rows, digest="a"):
+        found = update_token_store(spark.createDataFrame(rows, schema), tokenize, str(tmp_path), digest)
+        got = {r.pair_id: (r.split, r.input_ids) for r in found.collect()}
+        assert got == {i: (s, [len(d), -1 if m is None else len(m)]) for i, d, m, s in rows}
+
+    update(old)
+    update(old + new)
+    update([(i + 1000, d, m, "validation") for i, d, m, _ in old + new + old[:5]][:100])
+    assert [len(s) for s in seen] == [90, 10, 0] and seen[1] == [f"+{i} new" for i in range(90, 100)]
+    assert sorted(n for _, n in stored_folders(spark, str(tmp_path), "a")) == [10, 90]
+    update(old[:3], "other settings")
+    assert len(seen[-1]) == 3
+    # A manifest that was never completed does not count.
+    (tmp_path / "a" / "_manifest-000000000002").mkdir()
+    update(new + [(200, "+one more", "x", "test")])
+    assert len(seen[-1]) == 1
+    update([])
+    assert update_token_store(spark.createDataFrame([], schema), tokenize, str(tmp_path / "none"), "a").count() == 0
