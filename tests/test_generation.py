@@ -1,3 +1,4 @@
+import pytest
 from pairprep import constants as C
 from pairprep.functions.text import build_training_text
 from pairprep.operators.evaluation import eval_records, sample_count, sample_prompts
@@ -68,3 +69,24 @@ def test_split_diff_by_file(spark):
     df = spark.createDataFrame(rows, "pair_id int, diff string")
     got = sorted(tuple(r) for r in split_diff_by_file(df).collect())
     assert got == [(1, 0, one), (1, 1, two), (2, 0, "before\n"), (2, 1, one), (3, 0, "plain")]
+
+
+def test_a_model_stage_of_its_own_says_the_same(spark):
+    from pairprep.operators import generation as G
+    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+
+    rows = [(i, f"+line {i}\n", [i], {"k": None}) for i in range(40)] + [(40, None, None, None), (41, "", [], {})]
+    df = spark.createDataFrame(rows, "pair_id long, diff string, more array<int>, kept map<string,string>").repartition(3)
+
+    def factory():
+        return lambda prompts, ending="": [f"{p} said {len(p)} of {len(prompts) > 0}{ending}" for p in prompts]
+
+    sent = df.where("diff <> ''").selectExpr("*", "concat(diff, '?') AS _sent")
+    names = ["pair_id", "more", "kept", "_sent", "_answer.generated"]
+    one = G._answered(sent, factory, 7, {"ending": "!"}).select(names).collect()
+    other = G._answered_in_stage(sent, factory, 7, {"ending": "!"}, None).select(names).collect()
+    assert sorted(map(str, one)) == sorted(map(str, other)) and len(one) == 40
+    gpu = ExecutorResourceRequests().resource("gpu", 1)
+    profile = ResourceProfileBuilder().require(gpu).require(TaskResourceRequests().resource("gpu", 1)).build
+    with pytest.raises(ValueError, match="cluster"):
+        G.generate_batch(df, factory, profile=profile)
