@@ -5,7 +5,7 @@ by a 64-bit hash, and only where both phrases of k - 1 words inside passed; thos
 bitmap of BITS bits that holds all hashes found often enough, so a hash that meets another only lets
 one candidate more through. Every text has one of CLASSES classes, and the texts of the smallest class
 that has a phrase then give its words. These phrases, with all words in them, go into tries over word numbers: a double array in which state s has a child for word
-w at place base[s] + w where check is s. A trie holds at most BLOCK phrases, is broadcast, and every
+w at place base[s] + w where check is s. A trie holds about BLOCK phrases or BLOCK_BYTES of them at most, is broadcast, and every
 task moves the states of all its text positions with numpy, one word further at a time, and counts
 accepting states; Spark sums the tasks' counts. These counts are exact and all that scores are made
 of. Scores, their order and the phrases inside longer ones are DataFrame expressions.
@@ -46,6 +46,7 @@ COUNTS = 2_000_000
 BITS = 1 << 27
 BITMAP_BITS = 1 << 15  # of one group of Spark's bitmap_construct_agg
 BLOCK = 1_000_000
+BLOCK_BYTES = 64_000_000
 SALTS = 64
 CLASSES = 1 << 16
 
@@ -434,11 +435,14 @@ def count_phrases(texts: DataFrame, phrases: DataFrame, size: int, block: int =
     """(lang, phrase, n) over all texts, in as many tries as it takes; a written table."""
     spark = texts.sparkSession
     phrases = stage(phrases.withColumn("id", F.monotonically_increasing_id()), "phrases")
-    n_blocks = -(-phrases.count() // block)
+    size_of = phrases.agg(F.count("*").alias("n"), F.sum(F.octet_length("phrase")).alias("octets")).first()
+    n_blocks = max(-(-size_of.n // block), -(-(size_of.octets or 0) // BLOCK_BYTES))
     counted = None
     for number in range(n_blocks):
         mine = phrases.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_blocks)) == number)
         part = mine.toArrow()
+        if not part.num_rows:
+            continue
         trie, states = build_trie(*[part.column(c).combine_chunks() for c in ("lang", "phrase")])
         found = stage(count_in_trie(texts, trie, states, part.column("id").to_numpy(), size), "phrase-counts")
         del part, trie, states

@@ -11,7 +11,8 @@ benchmark is searched block by block, and the hits of each block are added to th
 
 Defined results: a null or wordless text has no words and no hits; a null or wordless item matches
 nothing; items that repeat an id count once, a null item_id is no item; repeated rows each get their
-own result; other columns are kept, those named n_words, hits or items are replaced.
+own result; other columns are kept, those named n_words, hits or items are replaced; an empty table of
+documents gives no rows, an empty benchmark leaves every document without hits.
 """
 
 from __future__ import annotations

@@ -138,3 +138,10 @@ def test_bitmap_loses_no_hash(spark):
     assert K.in_bitmap(bits, known).all()
     others = np.random.default_rng(3).integers(0, 1 << 63, 5000).view(np.uint64)
     assert K.in_bitmap(bits, others).sum() < 5
+
+
+def test_long_words_make_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK_BYTES", 5_000)
+    rows = [("en", f"{'x' * 3000} {'y' * 3000} z. " * 12 + f"a b c{i}. " * 11) for i in range(3)]
+    got = K.collocations(spark.createDataFrame(rows, "lang string, text string")).collect()
+    assert {tuple(r) for r in got} == brute(rows, 10, 2000)
