@@ -1,19 +1,26 @@
 """Personal data by candidate gradient boosting, in DataFrame expressions and Spark ML only.
 
 Strict base kinds are found by their patterns and checks and always stay. Beside them high-recall
-generators propose overlapping spans; boosted trees judge each by its format and context, and a
-threshold calibrated to PRECISION on a fold of its own selects further spans, of kind `pii`.
+generators of three forms (around an at sign, groups of digits, account numbers) propose overlapping
+spans; boosted trees judge each by its format and context, and a calibrated threshold per form selects
+further spans, of kind `pii`.
 
-The trees are fitted on candidates of at most TRAIN_DOCS documents (those with the smallest hash of
-their id), with the base matches as labels: a candidate is positive where it overlaps one. What the
-base checks look at (check digits, number ranges) is no feature, so the trees learn what such data
-look like and accept near misses of the same look. The fitted trees become one nested expression.
+The labels are evidence that neither the base patterns nor the features use: check digits modulo 97
+for account numbers, cue words shortly before the other forms. A cue is not always there, so the base
+matches, which are known to be personal data, tell how often it is: a set of further candidates is as
+precise as its share with evidence is to theirs (at least CUE_SHARE, so that chance cues count for
+nothing; all of it for a form without base matches). The threshold of a form is the lowest score whose
+candidates reach PRECISION in that sense; base matches themselves are held out of these counts.
+
+The trees are fitted on three quarters of at most TRAIN_DOCS documents (those with the smallest hash of
+their id); the thresholds come from counts over all other documents. The fitted trees become one
+nested expression.
 
 Patterns match from the start of a run of their characters and take it whole, with possessive
 quantifiers, so no text makes them slow or deep.
 
-Defined results: a null or empty text has no spans; repeated rows get equal spans; without a base
-match in the sample nothing is added; other columns are kept, one named spans is replaced; an empty
+Defined results: a null or empty text has no spans; repeated rows get equal spans; where the
+sample holds no candidate with evidence, or none without, nothing is added; other columns are kept, one named spans is replaced; an empty
 table gives no rows.
 """
 
@@ -31,7 +38,9 @@ TRAIN_DOCS = 20_000
 TREES = 10
 DEPTH = 3
 SEED = 42
-PRECISION = 0.99
+PRECISION = 0.9
+# A cue counts as usual for a form from this share of its base matches on.
+CUE_SHARE = 0.5
 SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 # The base patterns. A run of local-part characters is only entered at its start or
@@ -43,8 +52,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # High-recall generators: anything around an at sign, long groups of digits, account numbers.
 AROUND_AT = r"(?:\G|(?<![^\s@<>()\[\],;:\"]))[^\s@<>()\[\],;:\"]++(?:@|[(\[]at[)\]])[^\s@<>()\[\],;:\"]++"
 DIGITS = r"[+(]?(?<![0-9])[0-9](?:[\x20().\-/]{0,2}[0-9]){6,}+"
-ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+"
-CUES = r"(?i)mail|phone|tel|call|contact|card|visa|account|iban|host|addr|\bip\b"
+ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[0-9]{1,3}+(?![A-Za-z0-9]))?+"
+# Cue words, whole words in either case.
+MAIL_CUES = r"(?i)\b(?:e-?mails?|mails?|mailto|contact|write|reach)\b"
+NUMBER_CUES = r"(?i)\b(?:phones?|telephone|tel|call|fax|mobile|cards?|visa|mastercard)\b"
 
 Check = Callable[[Column], Column]
 
@@ -76,6 +87,19 @@ def luhn(m: Column) -> Column:
     return (n >= 16) & (n <= 19) & (total % 10 == 0)
 
 
+def modulo_97(m: Column) -> Column:
+    """Check digits of account numbers: the first four characters moved to the end, letters read as
+    10 to 35, leave 1."""
+    plain = F.replace(m, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
+
+    def grown(rest: Column, c: Column) -> Column:
+        number = F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+        return (rest * F.when(number > 9, 100).otherwise(10) + number) % 97
+
+    return F.aggregate(F.regexp_extract_all(turned, F.lit("[A-Z0-9]"), F.lit(0)), F.lit(0), grown) == 1
+
+
 def phone_digits(m: Column) -> Column:
     return F.length(digits_of(m)).between(8, 15)
 
@@ -88,10 +112,11 @@ BASE: tuple[tuple[str, str, Check, Check], ...] = (
     ("phone", PHONE, lambda t: F.contains(t, F.lit("+")), phone_digits),
 )
 KINDS = tuple(kind for kind, *_ in BASE)
-GENERATORS: tuple[tuple[str, Check], ...] = (
-    (AROUND_AT, lambda t: t.rlike(r"@|[(\[]at[)\]]")),
-    (DIGITS, lambda t: t.rlike(r"[0-9][^\p{L}]{0,2}[0-9][^\p{L}]{0,2}[0-9]")),
-    (ACCOUNT, lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}")),
+# pattern, what a text must contain for it, evidence from a match and the text before it
+GENERATORS: tuple[tuple[str, Check, Callable[[Column, Column], Column]], ...] = (
+    (AROUND_AT, lambda t: t.rlike(r"@|[(\[]at[)\]]"), lambda m, before: before.rlike(MAIL_CUES)),
+    (DIGITS, lambda t: t.rlike(r"[0-9][^\p{L}]{0,2}[0-9][^\p{L}]{0,2}[0-9]"), lambda m, before: before.rlike(NUMBER_CUES)),
+    (ACCOUNT, lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}"), lambda m, before: modulo_97(m)),
 )
 
 
@@ -125,20 +150,21 @@ def base_spans(text: Column) -> Column:
 
 
 FEATURES = (
-    "length digits letters others at plus dots spaces dashes groups glued_before glued_after cue upper".split()
+    "form length digits letters others at plus dots spaces dashes groups glued_before glued_after upper".split()
 )
 
 
-def candidates(text: Column) -> Column:
-    """(start, end, x) of all proposed spans; x has the features."""
-    found = F.concat(*[find_all(text, pattern, worth(text)) for pattern, worth in GENERATORS])
+def candidates(text: Column, labelled: bool = False) -> Column:
+    """(start, end, form, x) of all proposed spans, form being the number of the generator; x has the
+    features; labelled ones carry their evidence too."""
     count = lambda m, chars: F.length(m) - F.length(F.regexp_replace(m, chars, ""))
 
-    def described(c: Column) -> Column:
+    def described(c: Column, form: int, evidence: Callable[[Column, Column], Column]) -> Column:
         m = c["m"]
         before = F.substring(text, F.greatest(c["start"] - 23, F.lit(1)).cast("int"), F.least(c["start"], F.lit(24)).cast("int"))
         after = F.substring(text, (c["end"] + 1).cast("int"), F.lit(1))
         values = {
+            "form": F.lit(form),
             "length": F.length(m),
             "digits": count(m, "[0-9]"),
             "letters": count(m, r"\p{L}"),
@@ -151,13 +177,16 @@ def candidates(text: Column) -> Column:
             "groups": F.size(F.split(m, "[^0-9]+")),
             "glued_before": before.rlike(r"[\p{L}0-9]\z").cast("int"),
             "glued_after": after.rlike(r"[\p{L}0-9]").cast("int"),
-            "cue": before.rlike(CUES).cast("int"),
             "upper": count(m, "[A-Z]"),
         }
         x = F.struct(*[values[f].cast("double").alias(f) for f in FEATURES])
-        return F.struct(c["start"].alias("start"), c["end"].alias("end"), x.alias("x"))
+        label = [evidence(m, before).alias("evidence")] if labelled else []
+        return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.lit(form).alias("form"), x.alias("x"), *label)
 
-    return F.transform(found, described)
+    def of(form: int, pattern: str, worth: Check, evidence: Callable[[Column, Column], Column]) -> Column:
+        return F.transform(find_all(text, pattern, worth(text)), lambda c: described(c, form, evidence))
+
+    return F.concat(*[of(form, *rule) for form, rule in enumerate(GENERATORS)])
 
 
 def overlaps(c: Column, spans: Column) -> Column:
@@ -166,12 +195,12 @@ def overlaps(c: Column, spans: Column) -> Column:
 
 @dataclass(frozen=True)
 class Booster:
-    """Trees as nested (feature, threshold, left, right) or a number, their weights, and the score
-    from which a candidate counts; no trees accept nothing."""
+    """Trees as nested (feature, threshold, left, right) or a number, their weights, and by form
+    the score from which a candidate counts; no trees accept nothing."""
 
     trees: tuple
     weights: tuple[float, ...]
-    threshold: float
+    thresholds: tuple[float, ...]
 
     def score(self, x: Column) -> Column:
         """Probability from the weighted sum of the trees."""
@@ -188,7 +217,13 @@ class Booster:
         return 1 / (1 + F.exp(-2 * total))
 
 
-NOTHING = Booster((), (), 2.0)
+    def accepts(self, c: Column) -> Column:
+        least = F.element_at(F.array(*[F.lit(t) for t in self.thresholds]), c["form"] + 1)
+        return self.score(c["x"]) >= least
+
+
+NEVER = 2.0
+NOTHING = Booster((), (), (NEVER,) * len(GENERATORS))
 
 
 def _nested(node) -> object:
@@ -199,48 +234,55 @@ def _nested(node) -> object:
     return FEATURES[split.featureIndex()], float(split.threshold()), _nested(node.leftChild()), _nested(node.rightChild())
 
 
+def labelled_candidates(docs: DataFrame, text: str) -> DataFrame:
+    """(c, base) of every candidate of all texts; base: it overlaps a base match."""
+    value = F.col("_text")
+    return (
+        docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
+        .select(base_spans(value).alias("_base"), candidates(value, True).alias("_all"))
+        .select("_base", F.explode("_all").alias("c"))
+        .select("c", overlaps(F.col("c"), F.col("_base")).alias("base"))
+    )
+
+
 def fit(docs: DataFrame, text: str = "text", train_docs: int = TRAIN_DOCS) -> Booster:
-    """Fit on three of four sampled documents, calibrate on the rest."""
+    """Fit on three of four sampled documents, calibrate on all others."""
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     # At most `train_docs` ids by construction.
-    sample = docs.join(F.broadcast(ids.distinct()), "doc_id").select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    value = F.col("_text")
-    listed = sample.select(
-        (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) == 0).alias("own_fold"),
-        base_spans(value).alias("_base"),
-        candidates(value).alias("_all"),
-    ).select("own_fold", "_base", F.explode("_all").alias("c"))
-    rows = listed.select("own_fold", overlaps(F.col("c"), F.col("_base")).cast("double").alias("label"), "c.x.*")
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).persist()
+    own = F.broadcast(ids.distinct().where(F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) != 0))
+    rows = labelled_candidates(docs.join(own, "doc_id", "left_semi"), text).select(
+        F.col("c.evidence").cast("double").alias("label"), "c.x.*"
+    )
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label").persist()
     try:
-        kinds = {r["label"] for r in rows.where(~F.col("own_fold")).select("label").distinct().collect()}
-        if kinds != {0.0, 1.0}:
+        if {r["label"] for r in rows.select("label").distinct().collect()} != {0.0, 1.0}:
             return NOTHING
-        boost = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxBins=32)
-        model = boost.fit(rows.where(~F.col("own_fold")).select("features", "label"))
-        trees = tuple(_nested(t._java_obj.rootNode()) for t in model.trees)
-        fitted = Booster(trees, tuple(model.treeWeights), 2.0)
-        x = F.struct(*FEATURES)
-        bins = (
-            rows.where("own_fold")
-            .select(F.floor(fitted.score(x) * 1000).alias("bin"), "label")
-            .groupBy("bin")
-            .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
-            .collect()
-        )
-        return Booster(trees, fitted.weights, _calibrated(sorted((r["bin"], r["n"], r["hits"]) for r in bins)))
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxBins=32).fit(rows)
     finally:
         rows.unpersist()
-
-
-def _calibrated(bins: list[tuple[int, int, float]]) -> float:
-    """The lowest score above which at least PRECISION of the candidates, and one miss more, are
-    hits; so a fold with few candidates accepts none."""
-    best, n, hits = 2.0, 0, 0.0
-    for score, count, good in reversed(bins):
-        n, hits = n + count, hits + good
-        if hits >= PRECISION * (n + 1):
-            best = score / 1000
+    trees = tuple(_nested(t._java_obj.rootNode()) for t in model.trees)
+    fitted = Booster(trees, tuple(model.treeWeights), NOTHING.thresholds)
+    hit = F.col("c.evidence").cast("long")
+    # At most 1,001 rows per form.
+    bins = (
+        labelled_candidates(docs.join(own, "doc_id", "left_anti"), text)
+        .groupBy(F.col("c.form").alias("form"), "base", F.floor(fitted.score(F.col("c.x")) * 1000).alias("bin"))
+        .agg(F.count("*").alias("n"), F.sum(hit).alias("hits"))
+        .collect()
+    )
+    return Booster(trees, fitted.weights, tuple(_calibrated([r for r in bins if r["form"] == f]) for f in range(len(GENERATORS))))
+
+
+def _calibrated(bins: list) -> float:
+    """The lowest score above which the further candidates of a form, given as (base, bin, n, hits),
+    have evidence nearly as often as its base matches have; never, if no score does."""
+    known = [r for r in bins if r["base"]]
+    usual = sum(r["hits"] for r in known) / sum(r["n"] for r in known) if known else 1.0
+    best, n, hits = NEVER, 0, 0
+    for r in sorted((r for r in bins if not r["base"]), key=lambda r: -r["bin"]):
+        n, hits = n + r["n"], hits + r["hits"]
+        if hits >= PRECISION * max(usual, CUE_SHARE) * n:
+            best = r["bin"] / 1000
     return best
 
 
@@ -250,9 +292,7 @@ def find_personal_data(docs: DataFrame, booster: Booster, text: str = "text") ->
     found = docs.drop("spans", "_base").select("*", F.inline(F.array(F.struct(base_spans(value).alias("_base")))))
     if not booster.trees:
         return found.withColumnRenamed("_base", "spans")
-    chosen = F.filter(
-        candidates(value), lambda c: (booster.score(c["x"]) >= booster.threshold) & ~overlaps(c, F.col("_base"))
-    )
+    chosen = F.filter(candidates(value), lambda c: booster.accepts(c) & ~overlaps(c, F.col("_base")))
     more = F.array_distinct(
         F.transform(chosen, lambda c: F.struct(F.lit("pii").alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     ).cast(SPAN)
