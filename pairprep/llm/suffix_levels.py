@@ -12,10 +12,13 @@ have equal cores:
    There every new batch gets suffix arrays: the texts from the core on, and backwards from it, in
    order, with the lengths of their common starts. The batch is merge-scanned against the existing
    levels: a string is found again where one other run shares enough on both sides. Levels of
-   equal size merge geometrically. A core with more than HOT_RUNS such runs is dealt by the hash of
-   every single string instead, which spreads it over any number of tasks.
+   equal size merge geometrically.
+4. A core with more than HOT_RUNS such runs is too much for one task. Its runs are cut in two, the
+   strings that start far before the core and the others; each piece has a longer core of its own,
+   and steps 2 to 4 begin again for the pieces, down to pieces of a single string if need be.
 
-Equality of cores and runs is taken from two 64-bit hashes; the texts of step 3 are compared.
+Equality of cores and runs is taken from two 64-bit hashes; the texts of step 3 are compared,
+whatever the size of a core.
 
 Defined results: a null or short text has no removed bytes; repeated rows are texts of their own,
 so they remove each other; a null doc_id stays; other columns are kept, those named spans or kept
@@ -24,6 +27,7 @@ are replaced; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -33,11 +37,13 @@ from pyspark.sql import functions as F
 from pairprep.llm import windows as W
 from pairprep.sources.scratch import stage
 
+# Different runs of a core that one task compares.
 HOT_RUNS = 50_000
 # Content bytes of one partition of step 3, and runs of one batch there.
 PART_BYTES = 8_000_000
 BATCH_RUNS = 4096
 ROW = ["_doc", "_hash"]
+PIECE = ["core", "run", *ROW, "first", "last", "at", "lo", "hi", "content"]
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
@@ -189,27 +195,39 @@ def _scan_runs(contents: DataFrame) -> DataFrame:
     return contents.mapInArrow(run, "_doc long, _hash long, first long, last long")
 
 
-def _hashed_strings(contents: DataFrame) -> DataFrame:
-    """(core, string hash, row, first) of every single string of the runs."""
+def _halves(contents: DataFrame) -> DataFrame:
+    """The runs cut in two: strings that start lo to hi bytes before the core become those of the lower
+    and those of the upper half of these distances. All strings of a piece contain its new core."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         import pyarrow as pa
+        import xxhash
 
         for batch in batches:
-            held = batch.to_pydict()
-            for core, doc, digest, first, content in zip(
-                held["core"], held["_doc"], held["_hash"], held["first"], held["content"]
-            ):
-                hashes = W.hashes_of(content).view(np.int64)
-                n = len(hashes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([core] * n, pa.int64()), pa.array(hashes), pa.array([doc] * n, pa.int64()),
-                     pa.array([digest] * n, pa.int64()), pa.array(np.arange(first, first + n))],
-                    names=["core", "string", "_doc", "_hash", "first"],
-                )
-
-    return contents.mapInArrow(run, "core long, string long, _doc long, _hash long, first long")
+            made = []
+            for r in batch.to_pylist():
+                content, at = r["content"], r["at"]
+                middle = (r["lo"] + r["hi"]) // 2
+                for lo, hi in ((r["lo"], middle), (middle + 1, r["hi"])):
+                    near, far = max(lo, at - len(content) + W.SIZE), min(hi, at)
+                    if near > far:
+                        continue
+                    own = content[at - far : at - near + W.SIZE]
+                    shape = f"{r['core']} {lo} {far} {near} ".encode()
+                    core = f"{r['core']} {lo} ".encode() + content[at - lo : at - hi + W.SIZE]
+                    hashes = [_signed(xxhash.xxh3_64_intdigest(x, n)) for n, x in enumerate((core, shape + own))]
+                    first = r["first"] + at - far
+                    made.append((*hashes, r["_doc"], r["_hash"], first, first + far - near, far, lo, hi, own))
+            if made:
+                columns = [pa.array(c, t) for c, t in zip(zip(*made), [*[pa.int64()] * 9, pa.binary()])]
+                yield pa.RecordBatch.from_arrays(columns, names=PIECE)
+
+    kinds = ", ".join(f"{c} long" for c in PIECE[:-1])
+    return contents.mapInArrow(run, f"{kinds}, content binary")
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _same_row(left: str, right: str) -> Column:
@@ -232,6 +250,8 @@ def _contents(docs: DataFrame, runs: DataFrame) -> DataFrame:
             "_r.core",
             "_r.first",
             "_r.at",
+            F.lit(0).cast("long").alias("lo"),
+            F.lit(W.SPREAD).cast("long").alias("hi"),
             F.substring(octets, (F.col("_r.first") + 1).cast("int"), width.cast("int")).alias("content"),
         )
     )
@@ -244,15 +264,33 @@ def repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
     # Counts are written before they are joined: a join right behind an aggregate keeps all rows of
     # a key in one task, one of two tables is split where a key is common.
     shared = stage(runs.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "cores")
-    left = stage(runs.join(shared, "core", "left_semi"), "runs")
+    whole, ends = _sorted_out(stage(runs.join(shared, "core", "left_semi"), "runs"))
+    found, contents = [whole], stage(_contents(docs, ends), "contents")
+    while True:
+        hot = stage(
+            contents.where("lo < hi").groupBy("core").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_runs).select("core"),
+            "hot",
+        )
+        size = contents.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+        cool = contents.join(hot, "core", "left_anti").repartition(size // PART_BYTES + 1, "core")
+        found.append(_scan_runs(cool.select(*ROW, "first", "at", "content")))
+        if hot.isEmpty():
+            return functools.reduce(DataFrame.union, found)
+        pieces = stage(_halves(contents.join(hot, "core", "left_semi")), "pieces")
+        whole, ends = _sorted_out(pieces)
+        found, contents = [*found, whole], stage(ends, "contents")
+
+
+def _sorted_out(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(row, first, last) of runs that are somewhere else as a whole, and those to be compared: one of
+    each kind where a core has several."""
     kinds = stage(
-        left.groupBy("core", "run").agg(F.count("*").alias("n"), F.min(F.struct(*ROW, "first")).alias("one")), "kinds"
+        runs.groupBy("core", "run").agg(F.count("*").alias("n"), F.min(F.struct(*ROW, "first")).alias("one")), "kinds"
     )
-    mixed = stage(kinds.groupBy("core").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1"), "mixed")
-    whole = left.join(kinds.where("n > 1"), ["core", "run"], "left_semi").select(*ROW, "first", "last")
-    # One run of each kind stands for all of it where kinds of one core have to be compared.
-    chosen = kinds.join(mixed, "core").select("core", "run", "one.*", "n_kinds")
-    ends = left.alias("x").join(
+    mixed = stage(kinds.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "mixed")
+    whole = runs.join(kinds.where("n > 1"), ["core", "run"], "left_semi").select(*ROW, "first", "last")
+    chosen = kinds.join(mixed, "core", "left_semi").select("core", "run", "one.*")
+    ends = runs.alias("x").join(
         chosen.alias("y"),
         (F.col("x.core") == F.col("y.core"))
         & (F.col("x.run") == F.col("y.run"))
@@ -260,17 +298,7 @@ def repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
         & _same_row("x", "y"),
         "left_semi",
     )
-    contents = stage(_contents(docs, ends), "contents")
-    hot = mixed.where(F.col("n_kinds") > hot_runs).select("core")
-    cool = contents.join(hot, "core", "left_anti")
-    size = contents.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    found = _scan_runs(cool.repartition(size // PART_BYTES + 1, "core").select(*ROW, "first", "at", "content"))
-    single = stage(_hashed_strings(contents.join(hot, "core", "left_semi")), "strings")
-    again = single.groupBy("core", "string").agg(F.count("*").alias("_n")).where("_n > 1")
-    hot_found = single.join(again, ["core", "string"], "left_semi").select(
-        *ROW, "first", F.col("first").alias("last")
-    )
-    return whole.union(found.select(*ROW, "first", "last")).union(hot_found)
+    return whole, ends
 
 
 def _spans(found: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ import numpy as np
 SIZE = 400
 GRAM = 64
 PARTS = 2
+# Most bytes that a window of a run starts before the core.
+SPREAD = -(-(SIZE - GRAM + 1) // PARTS) - 1
 # Window starts hashed together; bounds the memory for a long text.
 AT_ONCE = 1 << 20
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
@@ -81,15 +83,6 @@ def _runs(data: bytes, base: int):
     return core, run, first + base, last + base, own - low - first
 
 
-def hashes_of(data: bytes) -> np.ndarray:
-    """Hash of every window of a short text."""
-    values, power, inverse = _tables()
-    octets = np.frombuffer(data, np.uint8)
-    prefix = np.zeros(len(octets) + 1, np.uint64)
-    np.cumsum(values[octets] * power[: len(octets)], out=prefix[1:])
-    return mix((prefix[SIZE:] - prefix[:-SIZE]) * inverse[: len(octets) - SIZE + 1])
-
-
 def _window_min(values: np.ndarray, wide: int) -> np.ndarray:
     """Minimum of every `wide` consecutive values, from running minima inside blocks."""
     n = len(values)

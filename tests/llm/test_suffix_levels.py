@@ -49,7 +49,7 @@ def rows_with_passages(seed=1):
     return rows + [(None, rows[6][1][:900]), (None, rows[7][1]), (104, (prose(rnd, 30) + "\n") * 12)]
 
 
-@pytest.mark.parametrize("hot_runs", [L.HOT_RUNS, 1])
+@pytest.mark.parametrize("hot_runs", [L.HOT_RUNS, 7, 1])
 def test_removed_bytes(docs, hot_runs):
     rows = rows_with_passages()
     table = docs(rows, "spans string")
@@ -59,6 +59,36 @@ def test_removed_bytes(docs, hot_runs):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_hot_core_is_cut_into_pieces(docs, monkeypatch):
+    """A passage between many different contexts: its ends are one core each, with a kind per text."""
+    rnd = random.Random(9)
+    passage = prose(rnd, 120)
+    rows = [(i, prose(rnd, 12) + passage + prose(rnd, 12)) for i in range(60)]
+    rows += [(100 + i, prose(rnd, 4)[-9:] + passage[:700]) for i in range(40)]
+    rounds = []
+    halves = L._halves
+    monkeypatch.setattr(L, "_halves", lambda contents: rounds.append(1) or halves(contents))
+    found = L.remove_repeated(docs(rows, "spans string"), hot_runs=10)
+    got = [(r.doc_id, bytes(r.kept), [(s.start, s.end) for s in r.spans]) for r in found.collect()]
+    assert sorted(got, key=repr) == brute(rows) and 1 <= len(rounds) <= 8
+
+
+def test_pieces_hold_every_string_once(spark):
+    rnd = random.Random(2)
+    text = bytes(rnd.randrange(97, 123) for _ in range(900))
+    _, _, first, last, at = (x[1:-1] for x in W.runs_of(text))
+    rows = [
+        (7, 0, 1, int(f), int(l), int(a), 0, W.SPREAD, text[f : l + SIZE]) for f, l, a in zip(first, last, at)
+    ]
+    kinds = "core long, _doc long, _hash long, first long, last long, at long, lo long, hi long, content binary"
+    pieces = L._halves(spark.createDataFrame(rows, kinds)).collect()
+    starts = sorted(i for p in pieces for i in range(p.first, p.last + 1))
+    assert starts == list(range(int(first[0]), int(last[-1]) + 1))
+    for p in pieces:
+        assert bytes(p.content) == text[p.first : p.last + SIZE]
+        assert p.lo <= p.at - (p.last - p.first) and p.at <= p.hi
+
+
 def test_empty_table(docs):
     assert L.remove_repeated(docs([(1, "x")]).limit(0)).count() == 0
 
