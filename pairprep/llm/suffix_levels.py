@@ -6,28 +6,27 @@ have equal cores:
 
 1. Cores that occur once in all texts are set aside; only hashes are shuffled for that, combined
    before the shuffle.
-2. Of the runs that are left, those with an equal whole run somewhere else are marked whole. That
-   settles copies of any number without comparing them.
-3. The others, mostly ends of shared passages, go with their bytes to the partition of their core.
-   There every new batch gets suffix arrays: the texts from the core on, and backwards from it, in
+2. Of each kind of run (equal bytes, so copies of any number) two go on with their bytes to the
+   partition of their core, or the only one there is.
+3. There every new batch gets suffix arrays: the texts from the core on, and backwards from it, in
    order, with the lengths of their common starts. The batch is merge-scanned against the existing
    levels: a string is found again where one other run shares enough on both sides. Levels of
    equal size merge geometrically.
 4. A core with more than HOT_RUNS such runs is too much for one task. Its runs are cut in two, the
    strings that start far before the core and the others; each piece has a longer core of its own,
-   and steps 2 to 4 begin again for the pieces, down to pieces of a single string if need be.
+   and steps 1 to 4 begin again for the pieces, down to pieces of a single string if need be.
+5. What was found in a kind holds for all runs of that kind.
 
-Equality of cores and runs is taken from two 64-bit hashes; the texts of step 3 are compared,
-whatever the size of a core.
+Kinds and cores are told apart by two 64-bit hashes. They only choose what is compared and carry a
+result to further copies: every removed string was found by the levels, in bytes.
 
 Defined results: a null or short text has no removed bytes; repeated rows are texts of their own,
-so they remove each other; a null doc_id stays; other columns are kept, those named spans or kept
-are replaced; an empty table gives no rows.
+so they remove each other; a null doc_id stays; other columns are kept, whatever their names, those
+named spans or kept are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairprep.llm import windows as W
-from pairprep.sources.scratch import stage
+from pairprep.sources.scratch import forget, made, stage
 
 # Different runs of a core that one task compares.
 HOT_RUNS = 50_000
@@ -43,7 +42,8 @@ HOT_RUNS = 50_000
 PART_BYTES = 8_000_000
 BATCH_RUNS = 4096
 ROW = ["_doc", "_hash"]
-PIECE = ["core", "run", *ROW, "first", "last", "at", "lo", "hi", "content"]
+KIND = ["core", "run"]
+PIECE = [*KIND, *ROW, "first", "last", "at", "lo", "hi", "of_core", "of_run", "skip", "content"]
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
@@ -170,34 +170,46 @@ def _common(x: bytes, y: bytes) -> int:
 
 
 def _scan_runs(contents: DataFrame) -> DataFrame:
-    """Found strings of the runs of a partition as (row, first, last); `at` is where the core begins."""
+    """Found strings of the kinds of a partition as (kind, one, two), counted from the run's first.
+
+    Rows that are repeated as a whole bring a run more than once; two are enough.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         import pyarrow as pa
 
-        family, rows = LevelFamily(), []
+        family, kinds, copies = LevelFamily(), [], {}
         for batch in batches:
             for part in range(0, batch.num_rows, BATCH_RUNS):
-                held = batch.slice(part, BATCH_RUNS).to_pydict()
-                rows += zip(held["_doc"], held["_hash"], held["first"], held["at"])
-                family.add([(c[a:], c[:a][::-1]) for c, a in zip(held["content"], held["at"])])
-        found = []
-        for (doc, digest, first, at), marks in zip(rows, family.marks):
+                new = []
+                for core, kind, *place, at, content in zip(*batch.slice(part, BATCH_RUNS).to_pydict().values()):
+                    key = (core, kind, *place)
+                    copies[key] = copies.get(key, 0) + 1
+                    if copies[key] <= 2:
+                        kinds.append((core, kind, at))
+                        new.append((content[at:], content[:at][::-1]))
+                if new:
+                    family.add(new)
+        found = set()
+        for (core, kind, at), marks in zip(kinds, family.marks):
             hits = np.flatnonzero(marks)
             for group in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1) if len(hits) else ():
-                found.append((doc, digest, first + at - int(group[-1]), first + at - int(group[0])))
-        names = ["_doc", "_hash", "first", "last"]
-        for part in range(0, len(found), 100_000):
-            columns = zip(*found[part : part + 100_000])
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-    return contents.mapInArrow(run, "_doc long, _hash long, first long, last long")
+                found.add((core, kind, at - int(group[-1]), at - int(group[0])))
+        rows = list(found)
+        for part in range(0, len(rows), 100_000):
+            columns = zip(*rows[part : part + 100_000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[*KIND, "one", "two"])
+
+    return contents.select(*KIND, *ROW, "first", "at", "content").mapInArrow(
+        run, "core long, run long, one long, two long"
+    )
 
 
 def _halves(contents: DataFrame) -> DataFrame:
     """The runs cut in two: strings that start lo to hi bytes before the core become those of the lower
-    and those of the upper half of these distances. All strings of a piece contain its new core."""
+    and those of the upper half of these distances. All strings of a piece contain its new core. It
+    begins skip strings behind the run of the kind (of_core, of_run)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
@@ -217,9 +229,10 @@ def _halves(contents: DataFrame) -> DataFrame:
                     core = f"{r['core']} {lo} ".encode() + content[at - lo : at - hi + W.SIZE]
                     hashes = [_signed(xxhash.xxh3_64_intdigest(x, n)) for n, x in enumerate((core, shape + own))]
                     first = r["first"] + at - far
-                    made.append((*hashes, r["_doc"], r["_hash"], first, first + far - near, far, lo, hi, own))
+                    place = (r["_doc"], r["_hash"], first, first + far - near, far, lo, hi)
+                    made.append((*hashes, *place, r["core"], r["run"], at - far, own))
             if made:
-                columns = [pa.array(c, t) for c, t in zip(zip(*made), [*[pa.int64()] * 9, pa.binary()])]
+                columns = [pa.array(c, t) for c, t in zip(zip(*made), [*[pa.int64()] * 12, pa.binary()])]
                 yield pa.RecordBatch.from_arrays(columns, names=PIECE)
 
     kinds = ", ".join(f"{c} long" for c in PIECE[:-1])
@@ -237,7 +250,7 @@ def _same_row(left: str, right: str) -> Column:
 
 def _contents(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """The runs with their bytes."""
-    place = F.struct("core", "first", "last", "at")
+    place = F.struct(*KIND, "first", "last", "at")
     listed = runs.groupBy(*ROW).agg(F.collect_set(place).alias("_runs"))
     octets = F.col("_text").cast("binary")
     width = F.col("_r.last") - F.col("_r.first") + W.SIZE
@@ -246,8 +259,9 @@ def _contents(docs: DataFrame, runs: DataFrame) -> DataFrame:
         .join(listed.alias("y"), _same_row("x", "y"))
         .select("x._doc", "x._hash", "_text", F.explode("_runs").alias("_r"))
         .select(
-            *ROW,
             "_r.core",
+            "_r.run",
+            *ROW,
             "_r.first",
             "_r.at",
             F.lit(0).cast("long").alias("lo"),
@@ -257,48 +271,48 @@ def _contents(docs: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """(row, first, last): starts of strings that start elsewhere too, as ranges, for every row of
-    `docs`(_doc, _hash, _text)."""
-    runs = _sketch(docs)
+def _shared(runs: DataFrame) -> DataFrame:
+    """The runs whose core is that of another run too."""
     # Counts are written before they are joined: a join right behind an aggregate keeps all rows of
     # a key in one task, one of two tables is split where a key is common.
-    shared = stage(runs.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "cores")
-    whole, ends = _sorted_out(stage(runs.join(shared, "core", "left_semi"), "runs"))
-    found, contents = [whole], stage(_contents(docs, ends), "contents")
-    while True:
-        hot = stage(
-            contents.where("lo < hi").groupBy("core").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_runs).select("core"),
-            "hot",
-        )
-        size = contents.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-        cool = contents.join(hot, "core", "left_anti").repartition(size // PART_BYTES + 1, "core")
-        found.append(_scan_runs(cool.select(*ROW, "first", "at", "content")))
-        if hot.isEmpty():
-            return functools.reduce(DataFrame.union, found)
-        pieces = stage(_halves(contents.join(hot, "core", "left_semi")), "pieces")
-        whole, ends = _sorted_out(pieces)
-        found, contents = [*found, whole], stage(ends, "contents")
-
-
-def _sorted_out(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(row, first, last) of runs that are somewhere else as a whole, and those to be compared: one of
-    each kind where a core has several."""
-    kinds = stage(
-        runs.groupBy("core", "run").agg(F.count("*").alias("n"), F.min(F.struct(*ROW, "first")).alias("one")), "kinds"
-    )
-    mixed = stage(kinds.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "mixed")
-    whole = runs.join(kinds.where("n > 1"), ["core", "run"], "left_semi").select(*ROW, "first", "last")
-    chosen = kinds.join(mixed, "core", "left_semi").select("core", "run", "one.*")
-    ends = runs.alias("x").join(
-        chosen.alias("y"),
-        (F.col("x.core") == F.col("y.core"))
-        & (F.col("x.run") == F.col("y.run"))
-        & (F.col("x.first") == F.col("y.first"))
-        & _same_row("x", "y"),
-        "left_semi",
+    cores = stage(runs.groupBy("core").agg(F.count("*").alias("_n")).where("_n > 1").select("core"), "cores")
+    return runs.join(cores, "core", "left_semi")
+
+
+def _two_of_each(runs: DataFrame) -> DataFrame:
+    """The least and the greatest run of every kind, or the only one."""
+    place = F.struct(*[c for c in runs.columns if c not in KIND])
+    kinds = runs.groupBy(*KIND).agg(F.count("*").alias("n"), F.min(place).alias("one"), F.max(place).alias("two"))
+    both = F.when(F.col("n") > 1, F.array("one", "two")).otherwise(F.array("one"))
+    return kinds.select(*KIND, F.explode(both).alias("_r")).select(*KIND, "_r.*")
+
+
+def _matches(contents: DataFrame, hot_runs: int) -> DataFrame:
+    """(kind, one, two): strings of the runs in `contents` that start elsewhere too."""
+    hot = stage(
+        contents.where("lo < hi").groupBy("core").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_runs).select("core"),
+        "hot",
     )
-    return whole, ends
+    size = contents.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    found = _scan_runs(contents.join(hot, "core", "left_anti").repartition(size // PART_BYTES + 1, "core"))
+    if hot.isEmpty():
+        return stage(found, "matches")
+    pieces = stage(_halves(contents.join(hot, "core", "left_semi")), "pieces")
+    inner = _matches(stage(_two_of_each(_shared(pieces)), "contents"), hot_runs)
+    strings = [(F.col("skip") + F.col(c)).alias(c) for c in ("one", "two")]
+    back = pieces.join(inner, KIND).select(F.col("of_core").alias("core"), F.col("of_run").alias("run"), *strings)
+    return stage(found.union(back.distinct()), "matches")
+
+
+def repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
+    """(row, first, last): starts of strings that start elsewhere too, as ranges, for every row of
+    `docs`(_doc, _hash, _text)."""
+    before = made()
+    runs = stage(_shared(_sketch(docs)), "runs")
+    matches = _matches(stage(_contents(docs, _two_of_each(runs)), "contents"), hot_runs)
+    forget(docs.sparkSession, before, but=("runs", "matches"))
+    strings = [(F.col("first") + F.col(c)).alias(n) for c, n in (("one", "first"), ("two", "last"))]
+    return runs.join(matches, KIND).select(*ROW, *strings)
 
 
 def _spans(found: DataFrame) -> DataFrame:
@@ -320,10 +334,15 @@ def _spans(found: DataFrame) -> DataFrame:
 def remove_repeated(docs: DataFrame, text: str = "text", hot_runs: int = HOT_RUNS) -> DataFrame:
     """Add spans, the maximal runs of removed bytes, and kept, the bytes that are left."""
     docs = docs.drop("spans", "kept")
-    rows = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_hash": F.xxhash64(text)})
-    found = repeated_strings(rows.select(*ROW, F.col(text).alias("_text")), hot_runs)
-    spans = _spans(found)
-    octets = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    # The caller's columns travel as one, so that none is taken for one of this module.
+    rows = docs.select(
+        F.struct("*").alias("_all"),
+        F.col("doc_id").cast("long").alias("_doc"),
+        F.xxhash64(text).alias("_hash"),
+        F.col(text).alias("_text"),
+    )
+    spans = _spans(repeated_strings(rows.select(*ROW, "_text"), hot_runs))
+    octets = F.coalesce(F.col("_text"), F.lit("")).cast("binary")
     n = F.octet_length(octets).cast("long")
     # What lies between the spans, before the first and behind the last.
     starts = F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end"))
@@ -332,13 +351,13 @@ def remove_repeated(docs: DataFrame, text: str = "text", hot_runs: int = HOT_RUN
     pieces = F.arrays_zip(starts.alias("s"), ends.alias("e"))
     kept = F.aggregate(pieces, F.lit(b""), lambda done, g: F.concat(done, piece(g)))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return (
-        rows.alias("x")
-        .join(spans.alias("y"), _same_row("x", "y"), "left")
-        .select(*[F.col(f"x.{c}") for c in docs.columns], "y.spans")
-        .withColumn("kept", F.when(F.col("spans").isNull(), octets).otherwise(kept))
-        .withColumn("spans", F.coalesce("spans", none))
+    joined = rows.alias("x").join(spans.alias("y"), _same_row("x", "y"), "left")
+    made_of = joined.select(
+        "_all",
+        F.coalesce("spans", none).alias("spans"),
+        F.when(F.col("spans").isNull(), octets).otherwise(kept).alias("kept"),
     )
+    return made_of.select("_all.*", "spans", "kept")
 
 
 def op5_suffix_levels(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairprep.llm import suffix_levels as L
 from pairprep.llm import windows as W
@@ -78,15 +79,36 @@ def test_pieces_hold_every_string_once(spark):
     text = bytes(rnd.randrange(97, 123) for _ in range(900))
     _, _, first, last, at = (x[1:-1] for x in W.runs_of(text))
     rows = [
-        (7, 0, 1, int(f), int(l), int(a), 0, W.SPREAD, text[f : l + SIZE]) for f, l, a in zip(first, last, at)
+        (7, 8, 0, 1, int(f), int(l), int(a), 0, W.SPREAD, text[f : l + SIZE]) for f, l, a in zip(first, last, at)
     ]
-    kinds = "core long, _doc long, _hash long, first long, last long, at long, lo long, hi long, content binary"
+    kinds = "core long, run long, _doc long, _hash long, first long, last long, at long, lo long, hi long, content binary"
     pieces = L._halves(spark.createDataFrame(rows, kinds)).collect()
     starts = sorted(i for p in pieces for i in range(p.first, p.last + 1))
     assert starts == list(range(int(first[0]), int(last[-1]) + 1))
     for p in pieces:
         assert bytes(p.content) == text[p.first : p.last + SIZE]
         assert p.lo <= p.at - (p.last - p.first) and p.at <= p.hi
+        assert (p.of_core, p.of_run) == (7, 8) and p.skip == p.first - max(f for f in first if f <= p.first)
+
+
+def test_removal_comes_from_the_levels(docs, monkeypatch):
+    """Equal hashes alone remove nothing: without the scan, copies stay whole."""
+    scan = L._scan_runs
+    monkeypatch.setattr(L, "_scan_runs", lambda contents: scan(contents).limit(0))
+    table = docs([(i, "word " * 200) for i in range(3)], "spans string")
+    assert [len(r.spans) for r in L.remove_repeated(table).collect()] == [0, 0, 0]
+
+
+def test_own_columns_and_many_repeated_rows(docs):
+    """Columns named like those of the module keep their values; a row forty times is one text of forty."""
+    text = prose(random.Random(4), 90)
+    table = docs([(1, text)] * 40 + [(2, "x" + text[50:]), (3, "short")], "spans string")
+    for name in ("_doc", "_hash", "_text", "_all", "core", "run", "first"):
+        table = table.withColumn(name, F.lit(name))
+    found = L.remove_repeated(table, hot_runs=20).collect()
+    assert all(r[c] == c for r in found for c in ("_doc", "_hash", "_text", "_all", "core", "run", "first"))
+    got = [(r.doc_id, bytes(r.kept), [(s.start, s.end) for s in r.spans]) for r in found]
+    assert sorted(got, key=repr) == brute([(r.doc_id, r.text) for r in table.collect()])
 
 
 def test_empty_table(docs):
