@@ -140,19 +140,22 @@ class LevelFamily:
         for order, texts in ((level.back, self.back), (level.ahead, self.ahead)):
             common = np.array([-1] + [_common(texts[x], texts[y]) for x, y in zip(order, order[1:])])
             orders.append((np.array([place[m] for m in order]), common))
-        for a in range(int(before.max(initial=-1)) + 1):
-            has = (before >= a) & (behind >= self.size - a)
-            if has.sum() < 2:
+        found = np.zeros((len(members), int(before.max(initial=-1)) + 1), bool)
+        for a in range(found.shape[1]):
+            own = np.flatnonzero((before >= a) & (behind >= self.size - a))
+            if len(own) < 2:
                 continue
             code = np.zeros(len(members), np.int64)
             for (where, common), depth in zip(orders, (a, self.size - a)):
                 group = np.empty(len(members), np.int64)
                 group[where] = np.cumsum(common < depth)
                 code = code * (len(members) + 1) + group
-            own = np.flatnonzero(has)
-            _, group, count = np.unique(code[own], return_inverse=True, return_counts=True)
-            for m in members[own[count[group] > 1]]:
-                self.marks[m][a] = True
+            own = own[np.argsort(code[own])]
+            same = np.flatnonzero(code[own[1:]] == code[own[:-1]])
+            found[own[same], a] = found[own[same + 1], a] = True
+        for i in np.flatnonzero(found.any(axis=1)):
+            marks = self.marks[level.members[i]]
+            marks |= found[i, : len(marks)]
 
 
 def _common(x: bytes, y: bytes) -> int:
@@ -179,18 +182,19 @@ def _scan_runs(contents: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        family, kinds, copies = LevelFamily(), [], {}
+        family, kinds, copies, new = LevelFamily(), [], {}, []
         for batch in batches:
-            for part in range(0, batch.num_rows, BATCH_RUNS):
-                new = []
-                for core, kind, *place, at, content in zip(*batch.slice(part, BATCH_RUNS).to_pydict().values()):
-                    key = (core, kind, *place)
-                    copies[key] = copies.get(key, 0) + 1
-                    if copies[key] <= 2:
-                        kinds.append((core, kind, at))
-                        new.append((content[at:], content[:at][::-1]))
-                if new:
+            for core, kind, *place, at, content in zip(*batch.to_pydict().values()):
+                key = (core, kind, *place)
+                copies[key] = copies.get(key, 0) + 1
+                if copies[key] <= 2:
+                    kinds.append((core, kind, at))
+                    new.append((content[at:], content[:at][::-1]))
+                if len(new) == BATCH_RUNS:
                     family.add(new)
+                    new = []
+        if new:
+            family.add(new)
         found = set()
         for (core, kind, at), marks in zip(kinds, family.marks):
             hits = np.flatnonzero(marks)
