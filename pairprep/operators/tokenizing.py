@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairprep import constants as C
 from pairprep.functions.text import build_prompt, build_training_text, split_tokens, starts_with_space
 from pairprep.functions.tokens import attention_mask, mask_labels, target_ids, truncate
+from pairprep.operators.slices import bounded_batches, slices
 from pairprep.operators.vocabulary import BLOCK_BYTES, lookup_ids
 
 Tokenizer = Callable[[list[str]], list[list[int]]]
@@ -72,26 +73,30 @@ def tokenize_pairs_with(
     key: str = C.KEY,
     split: str = C.SPLIT,
 ) -> DataFrame:
-    """The same with the caller's tokenizer, built once per task and called once per batch with the
-    prompts and the whole texts. It need not be deterministic: each row is tokenised once."""
+    """The same with the caller's tokenizer, built once per task and called once per slice of a bounded
+    number of bytes, with its prompts and whole texts. It need not be deterministic: each row is
+    tokenised once. Of the prompt only the number of its ids comes back, of the whole what is kept."""
 
-    @F.pandas_udf("prompt array<int>, whole array<int>")
-    def ids_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        import pandas as pd
+    @F.arrow_udf("prompt_size int, ids array<int>")
+    def ids_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        import pyarrow as pa
 
         encode = tokenizer()
-        for prompts, wholes in batches:
-            made = encode(prompts.tolist() + wholes.tolist())
-            yield pd.DataFrame({"prompt": made[: len(prompts)], "whole": made[len(prompts) :]})
-
+        for batch in batches:
+            for prompts, wholes in slices(*batch):
+                made = encode(prompts.to_pylist() + wholes.to_pylist())
+                sizes = pa.array([min(len(ids), max_length) for ids in made[: len(prompts)]], pa.int32())
+                kept = pa.array([ids[:max_length] for ids in made[len(prompts) :]], pa.list_(pa.int32()))
+                yield pa.StructArray.from_arrays([sizes, kept], ["prompt_size", "ids"])
+
+    bounded_batches(df.sparkSession)
     kept = df.columns if keep_columns else [c for c in (key, split) if c in df.columns]
     prompt = F.coalesce(build_prompt(diff, separator), F.lit(""))
     whole = F.coalesce(build_training_text(diff, message, separator, eos), F.lit(""))
     absent = F.col(diff).isNull() | F.col(message).isNull()
     made = df.withColumn("_absent", absent).withColumn("_made", ids_of.asNondeterministic()(prompt, whole))
-    ids = F.when(~F.col("_absent"), truncate("_made.whole", max_length))
     coded = made.select(
-        *kept, F.least(F.size("_made.prompt"), F.lit(max_length)).alias("_prompt_size"), ids.alias("input_ids")
+        *kept, F.col("_made.prompt_size").alias("_prompt_size"), F.when(~F.col("_absent"), F.col("_made.ids")).alias("input_ids")
     )
     return _with_labels(coded, kept)
 
