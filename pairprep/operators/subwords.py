@@ -2,8 +2,9 @@
 
 The file is one that the `tokenizers` library reads, at a path that every task can open: a file of
 an installed package, on shared storage, or sent along with `SparkContext.addFile` and given by its
-name. Nothing is learned here. A task reads the file once; texts go in whole batches to the
-library, which works on many rows at a time and remembers the words that it has split.
+name. Nothing is learned here. A task reads the file once; texts go in slices of bounded bytes to the
+library, which works on many rows at a time, remembers the words that it has split, and holds some
+hundred bytes for every token until the rows are done.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pairprep import constants as C
 from pairprep.functions.tokens import truncate
+from pairprep.operators.slices import bounded_batches, slices
 from pairprep.operators.tokenizing import Tokenizer, tokenize_pairs_with
 
 
@@ -56,11 +58,13 @@ def encode_subwords(
         import pyarrow as pa
 
         encode = subword_tokenizer(path)()
-        for texts in batches:
-            rows = texts.to_pylist()
-            made = iter(encode([t for t in rows if t is not None]))
-            yield pa.array([None if t is None else next(made) for t in rows], pa.list_(pa.int32()))
+        for batch in batches:
+            for (texts,) in slices(batch):
+                rows = texts.to_pylist()
+                made = iter(encode([t for t in rows if t is not None]))
+                yield pa.array([None if t is None else next(made) for t in rows], pa.list_(pa.int32()))
 
+    bounded_batches(df.sparkSession)
     # Not deterministic to the optimiser, or a filter behind it would tokenise once more.
     coded = df.withColumn(out, ids_of.asNondeterministic()(text))
     return coded if max_length is None else coded.withColumn(out, truncate(out, max_length))
@@ -76,12 +80,14 @@ def decode_subwords(df: DataFrame, path: str, ids: str, out: str = "text", skip_
 
         words = vocabulary(path)
         size = words.get_vocab_size()
-        for lists in batches:
-            rows = lists.to_pylist()
-            known = [[i for i in r if i is not None and 0 <= i < size] for r in rows if r is not None]
-            made = iter(words.decode_batch(known, skip_special_tokens=skip_special))
-            yield pa.array([None if r is None else next(made) for r in rows], pa.string())
-
+        for batch in batches:
+            for (lists,) in slices(batch):
+                rows = lists.to_pylist()
+                known = [[i for i in r if i is not None and 0 <= i < size] for r in rows if r is not None]
+                made = iter(words.decode_batch(known, skip_special_tokens=skip_special))
+                yield pa.array([None if r is None else next(made) for r in rows], pa.string())
+
+    bounded_batches(df.sparkSession)
     return df.withColumn(out, text_of.asNondeterministic()(ids))
 
 
