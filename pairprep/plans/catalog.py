@@ -416,9 +416,9 @@ def read_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.documents(spark, sf_dir).where(rules.has_input("text"))
     doubled = F.replace("text", F.lit("\\"), F.lit("\\\\"))
     one_line = F.replace(doubled, F.lit("\n"), F.lit("\\n"))
-    rows.select(one_line.alias("value"), "doc_id").write.partitionBy("doc_id").text(path)
+    patches.write_patches(rows.withColumn("text", one_line), path, "doc_id", "text")
     found = pair_source.read_patches(spark, path)
-    name = F.regexp_extract("path", r"doc_id=(-?[0-9]+)/", 1).cast("long")
+    name = F.regexp_extract("path", patches.FILE_NAME, 1).cast("long")
     return found.select(name.alias("doc_id"), F.btrim(C.DIFF, F.lit("\n")).alias(C.DIFF))
 
 
@@ -426,9 +426,9 @@ def read_patch_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every diff written as a file of its own and read back in ranges that are shorter than most."""
     path = scratch.fresh_path(spark, "patch-files")
     rows = views.pairs(spark, sf_dir).where(rules.has_input(C.DIFF))
-    rows.select(F.col(C.DIFF).alias("value"), C.KEY).write.partitionBy(C.KEY).text(path)
+    patches.write_patches(rows, path)
     found = patches.read_patch_sections(spark, path, PATCH_RANGE)
-    name = F.regexp_extract("path", rf"{C.KEY}=(-?[0-9]+)/", 1).cast("long")
+    name = F.regexp_extract("path", patches.FILE_NAME, 1).cast("long")
     return found.select(name.alias(C.KEY), "position", C.DIFF)
 
 

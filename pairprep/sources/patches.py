@@ -11,16 +11,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from pairprep import constants as C
+from pairprep.operators.slices import bounded_batches
 
 HEADER = b"diff --git "
 SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 4 << 20
 # What opening a file counts for, in bytes.
 OPEN_BYTES = 64 << 10
+# Files that `write_patches` puts in a folder, and the key in their path.
+FOLDER_FILES = 4096
+FILE_NAME = r"/(-?[0-9]+)-[0-9]+-[0-9]+\.patch$"
 
 
 @dataclass(frozen=True)
@@ -124,12 +130,48 @@ class PatchReader(DataSourceReader):
                     yield r.path, position, data.decode("utf-8", "replace")
 
 
+def _uri(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+def write_patches(df: DataFrame, path: str, key: str = C.KEY, text: str = C.DIFF) -> None:
+    """Every row that has a text as a UTF-8 file of its own, ended by a line end; FILE_NAME finds its key.
+
+    The tasks write the files where they stay, FOLDER_FILES to a folder, so nothing is listed or moved
+    by the driver when they are done. A file is named by key, task and row: a table that gives a
+    repeated task the same rows again, as a stored one does, leaves the same files.
+    """
+    uri = _uri(path)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        where, root = fs.FileSystem.from_uri(uri)
+        task, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                folder = f"{root}/{task:06d}-{n // FOLDER_FILES:06d}"
+                if n % FOLDER_FILES == 0:
+                    where.create_dir(folder)
+                with where.open_output_stream(f"{folder}/{name}-{task}-{n}.patch") as file:
+                    file.write(data.as_buffer())
+                    file.write(b"\n")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    bounded_batches(df.sparkSession)
+    rows = df.where(F.col(text).isNotNull()).select(F.coalesce(F.col(key).cast("string"), F.lit("null")), text)
+    rows.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def read_patch_sections(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """(path, position, diff): the sections of all patch files below a folder, UTF-8; position is the
     byte a section begins at, so the sections of a path by position make its file again. Empty files
     have none; names that begin with a dot or an underscore are left out; bytes that are no UTF-8
     become U+FFFD."""
     spark.dataSource.register(PatchSource)
-    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    uri = _uri(path)
     tasks = spark.sparkContext.defaultParallelism
     return spark.read.format("patches").options(splitBytes=split_bytes, tasks=tasks).load(uri)

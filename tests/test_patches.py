@@ -3,7 +3,10 @@ import re
 
 import pytest
 from pairprep.operators.cleaning import clean_pairs, clean_pairs_counted, retention_of, retention_report
-from pairprep.sources.patches import PatchReader, read_patch_sections, sections
+from pairprep.plans import catalog
+from pairprep.sources.pairs import read_patches
+from pairprep.sources.patches import FILE_NAME, PatchReader, read_patch_sections, sections, write_patches
+from pyspark.sql import functions as F
 
 
 def whole(data):
@@ -96,3 +99,25 @@ def test_cleaning_counts_what_it_keeps_in_its_own_pass(spark, tmp_path):
     assert sorted(report.collect()) == sorted(retention_report(raw).where("split <> 'other'").collect())
     plan = cleaned._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and plan.count("CollectMetrics") == 1
+
+
+def test_written_patches_come_back_by_their_key(spark, tmp_path):
+    texts = {1: "diff --git a\n+é", -2: "", 3: None, 4: "a\r\nb\n\ndiff --git c\n"}
+    rows = spark.createDataFrame(list(texts.items()), "pair_id long, diff string").repartition(3)
+    write_patches(rows, str(tmp_path))
+    name = F.regexp_extract("path", FILE_NAME, 1).cast("long")
+    got = {}
+    for r in sorted(read_patch_sections(spark, str(tmp_path), 3).withColumn("key", name).collect(), key=lambda r: (r.path, r.position)):
+        got[r.key] = got.get(r.key, "") + r.diff
+    assert got == {k: t + "\n" for k, t in texts.items() if t is not None}
+    again = {r.key: r.diff for r in read_patches(spark, str(tmp_path)).withColumn("key", name).collect()}
+    assert again == got
+
+
+@pytest.mark.parametrize("query", [catalog.read_patches, catalog.read_patch_sections])
+def test_files_share_their_folders(spark, tmp_path, query, monkeypatch):
+    monkeypatch.setattr(catalog.scratch, "fresh_path", lambda spark, name: f"{tmp_path}/{name}")
+    spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    assert query(spark, str(tmp_path)).count() >= 250
+    folders = [p for p in tmp_path.glob("patch*/**/") if p.is_dir()]
+    assert 2 <= len(folders) <= 2 + 8
