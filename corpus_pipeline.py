@@ -22,7 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word similarity of 0.8 connects."""
+    """One document of each group that five-word similarity of 0.8 connects, among the pairs that the
+    SimHash index and a longer one propose."""
     small_batches(spark)
     return near_copies.keep_one(docs)
 

@@ -1,9 +1,10 @@
-"""Near copies by five-word similarity, through a byte-position index of longer fingerprints.
+"""Near copies by SimHash and five-word similarity, through byte-position indexes of fingerprints.
 
 Two texts are copies where the sets of their SHINGLE-word shingles have a Jaccard similarity of 0.8
-or more. Such texts differ in too many SimHash bits for the index of `simhash_bytes`, so the index
-has a setting of its own: a fingerprint of 80 bytes, each from the smallest shingle under an order
-of its own, so that a byte is equal with a probability of the similarity.
+or more. The SimHash fingerprints of `simhash_bytes` and its index propose pairs first. Texts at 0.8
+differ in more SimHash bits than that index covers, so further pairs come from one with a setting of
+its own: a fingerprint of 80 bytes, each from the smallest shingle under an order of its own, so that
+a byte is equal with a probability of the similarity. The sets decide on what either proposes.
 
 1. The index is cut into 20 lists per fingerprint by four bytes each. A pair at 0.8 misses all of
    them in one of 40,000 cases, a closer one more rarely.
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from pairprep.llm.collocations import bitmap_of, in_bitmap
 from pairprep.llm.components import components
+from pairprep.llm.simhash_bytes import fingerprint_links, fingerprint_of
 from pairprep.sources.scratch import forget, made, stage
 
 SHINGLE = 5
@@ -91,16 +93,20 @@ def mark_of(shingles) -> bytes:
 
 
 def with_mark(docs: DataFrame) -> DataFrame:
-    """Add _mark, the digest of the shingle set and its fingerprint."""
+    """Add _mark, the digest of the shingle set and its fingerprint, and _fp, the SimHash of the text."""
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("mark binary, fp long")
     def marks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import numpy as np
         import pyarrow as pa
 
         for texts in batches:
-            yield pa.array([mark_of(shingles_of(t.as_py())) for t in texts], pa.binary())
+            found = pa.array([mark_of(shingles_of(t.as_py())) for t in texts], pa.binary())
+            fps = np.fromiter((fingerprint_of(t.as_py()) for t in texts), np.uint64, len(texts))
+            yield pa.StructArray.from_arrays([found, pa.array(fps.view(np.int64))], ["mark", "fp"])
 
-    return docs.withColumn("_mark", marks.asNondeterministic()("text"))
+    made = docs.withColumn("_made", marks.asNondeterministic()("text"))
+    return made.withColumns({"_mark": F.col("_made.mark"), "_fp": F.col("_made.fp")}).drop("_made")
 
 
 def spanning_forest(n: int, near: Callable) -> list[tuple[int, int]]:
@@ -235,12 +241,25 @@ def rows_of(rows: DataFrame, nodes: DataFrame) -> Column:
     return known(F.xxhash64("_row"))
 
 
+def simhash_links(marked: DataFrame) -> DataFrame:
+    """(u, v) links between nodes of (node, fp) whose fingerprints lie within 4 bits, enough for the
+    components of those; a node may have several."""
+    fps = stage(marked.groupBy("fp").agg(F.min("node").alias("least")), "fps")
+    ends = stage(fingerprint_links(fps.select("fp")), "fp-links")
+    u, v = fps.select(F.col("fp").alias("u"), F.col("least").alias("a")), fps.select(F.col("fp").alias("v"), F.col("least").alias("b"))
+    near = ends.join(u, "u").join(v, "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    equal = marked.join(fps, "fp").where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v"))
+    return near.union(equal).distinct()
+
+
 def grouped(held: DataFrame) -> DataFrame:
-    """(_row, component) of every row of (_row, _mark, text)."""
+    """(_row, component) of every row of (_row, _mark, _fp, text)."""
     digest = F.substring("_mark", 1, DIGEST).alias("digest")
     sketch = F.substring("_mark", DIGEST + 1, BYTES)
     sets = stage(held.groupBy(digest).agg(F.min("_row").alias("node"), F.min(sketch).alias("sketch")), "sets")
-    near = components(candidate_links(sets.select("node", "sketch")))
+    marked = held.select(digest, F.col("_fp").alias("fp")).distinct().join(sets, "digest").select("node", "fp")
+    proposed = simhash_links(stage(marked, "marked")).union(candidate_links(sets.select("node", "sketch")))
+    near = components(proposed)
     texts = held.where(rows_of(held, near)).select(F.col("_row").alias("node"), "text")
     members = stage(texts.join(near, "node").select("root", "node", "text"), "members")
     roots = components(similar_links(members)).withColumnRenamed("root", "component")
@@ -258,7 +277,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     before = made()
     inner = docs.select(F.struct("*").alias("row"), "text", F.monotonically_increasing_id().alias("_row"))
     held = stage(with_mark(inner).drop("text"), "rows")
-    seen = held.select("_row", "_mark", F.col("row.text").alias("text"))
+    seen = held.select("_row", "_mark", "_fp", F.col("row.text").alias("text"))
     rank = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", F.xxhash64("row.text"), "_row")
     places = stage(grouped(seen).join(held.select("_row", rank.alias("rank")), "_row"), "places")
     first = places.groupBy("component").agg(F.count("*").alias("n"), F.min("rank").alias("least")).where("n > 1")

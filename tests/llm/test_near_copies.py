@@ -114,3 +114,21 @@ def test_intermediate_tables_go(spark, docs):
     kept = N.keep_one(docs([(1, text), (2, text + " more"), (3, "other")]))
     assert scratch.made() == before + 2  # the rows, and which of them are dropped
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_simhash_proposes_pairs_that_the_sets_decide_on(spark):
+    """With no pair from the longer index, the SimHash index still finds close texts; sets of less than 0.8 stay apart."""
+    text = " ".join(f"w{i}" for i in range(3000))
+    rows = [(1, text), (2, text + " end"), (3, " ".join(f"v{i}" for i in range(400))), (4, text + " end")]
+    marked = N.with_mark(spark.createDataFrame(rows, "_row long, text string")).select("_row", "_mark", "_fp", "text")
+    nodes = marked.selectExpr("_row AS node", "_fp AS fp")
+    assert {frozenset((r.u, r.v)) for r in N.simhash_links(nodes).collect()} >= {frozenset((2, 4)), frozenset((1, 2))}
+    none = spark.createDataFrame([], "u long, v long")
+    before, N.candidate_links = N.candidate_links, lambda sets: none
+    try:
+        found = {r._row: r.component for r in N.grouped(marked).collect()}
+    finally:
+        N.candidate_links = before
+    assert found[1] == found[2] == found[4] and found[3] == 3
+    far = [(n, N.shingles_of(t)) for n, t in ((1, "a b c d e f"), (2, "a b c d e g"))]
+    assert N.similar_forest([s for _, s in far]) == []
