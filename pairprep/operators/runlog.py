@@ -7,7 +7,9 @@ chunks is a summary row for each.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +73,52 @@ _FINAL = (
 )
 
 
+def _by_group(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], follow: Callable, layout: str) -> DataFrame:
+    """What follow makes of the other columns of each group, in order, behind the first key.
+
+    Groups go to Python many in a batch: most are short, and a call for each would cost more than its rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+
+        names = [c.split()[0] for c in layout.split(", ")]
+        kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+        types = [kinds.get(c.split()[1]) for c in layout.split(", ")]
+
+        def made_of(held: pa.Table, bounds: list[int]) -> pa.RecordBatch:
+            found, of = [], []
+            columns = [c.combine_chunks() for c in held.columns]
+            for a, b in zip(bounds, bounds[1:]):
+                for row in follow([c.slice(a, b - a) for c in columns[1:]]):
+                    found.append(row)
+                    of.append(a)
+            first = columns[0].take(pa.array(of, pa.int64()))
+            return pa.RecordBatch.from_arrays(
+                [first, *(pa.array([r[i] for r in found], t) for i, t in enumerate(types[1:]))], names=names
+            )
+
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
+            if not len(held):
+                continue
+            differs = np.zeros(len(held) - 1, bool)
+            for i in range(len(keys)):
+                codes = held.column(i).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+                differs |= codes[1:] != codes[:-1]
+            bounds = [0, *(np.flatnonzero(differs) + 1).tolist()]
+            if len(bounds) > 1:
+                yield made_of(held, bounds)
+                held = held.slice(bounds[-1])
+        if held is not None and len(held):
+            yield made_of(held, [0, len(held)])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, layout)
+
+
 def _followed_stops(
     ranked: DataFrame, run: str, patience: int, threshold: float, chunk_rows: int
 ) -> DataFrame:
@@ -83,74 +131,55 @@ def _followed_stops(
     """
     run_type = ranked.schema[run].dataType.simpleString()
 
-    def follow_chunk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def follow_chunk(part: int, steps, values) -> Iterator[tuple]:
         import numpy as np
-        import pandas as pd
 
-        rows = rows.sort_values("_rank")
-        values = rows["_value"].to_numpy(dtype=np.float64)
-        steps = rows["_step"].to_numpy(dtype=np.int64)
-        count = len(rows)
+        count = len(values)
         own = min(count, chunk_rows)
         following = np.full(count, -1)
         for ahead in range(min(patience, count - 1), 0, -1):
             better = values[ahead:] < values[:-ahead] - threshold
             following[:-ahead][better] = np.nonzero(better)[0] + ahead
         # Where each row leads, from behind: to itself, or to where the row it follows leads.
-        end, before = np.arange(count), np.full(count, -1)
+        following = following.tolist()
+        end, before = list(range(count)), [-1] * count
         for at in range(own - 1, -1, -1):
             if (next_at := following[at]) >= 0:
                 end[at] = end[next_at]
                 before[at] = before[next_at] if before[next_at] >= 0 else at
-        found = []
-        for entry in range(1 if key[1] == 0 else min(patience, own)):
-            at, came = int(end[entry]), int(before[entry])
+        for entry in range(1 if part == 0 else min(patience, own)):
+            at, came = end[entry], before[entry]
             leaves = at >= own
             rest = count - 1 - at
             stops = not leaves and rest >= patience
-            found.append(
-                (
-                    key[0],
-                    key[1],
-                    entry,
-                    at - own if leaves else None,
-                    float(values[at]),
-                    int(steps[at]),
-                    float(values[came]) if came >= 0 else None,
-                    patience if stops else rest,
-                    int(steps[at + patience]) if stops else None,
-                )
+            yield (
+                part,
+                entry,
+                at - own if leaves else None,
+                float(values[at]),
+                int(steps[at]),
+                float(values[came]) if came >= 0 else None,
+                patience if stops else rest,
+                int(steps[at + patience]) if stops else None,
             )
-        frame = pd.DataFrame(found, columns=[f.split()[0] for f in layout.split(", ")])
-        return frame.astype({"exit": "Int64", "stop_step": "Int64", "previous": "Float64"})
 
-    def follow_run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        import pandas as pd
+    def follow_chunks(group: list) -> Iterator[tuple]:
+        parts, _, steps, values = (a.to_numpy(zero_copy_only=False) for a in group)
+        yield from follow_chunk(int(parts[0]), steps, values)
 
-        places = {(p, e): i for i, (p, e) in enumerate(zip(rows["part"], rows["entry"]))}
-        exits = rows["exit"].to_numpy(dtype=float, na_value=-1)
-        carried = rows["previous"].to_numpy(dtype=float)
+    def follow_run(group: list) -> Iterator[tuple]:
+        rows = list(zip(*(a.to_pylist() for a in group)))
+        places = {r[:2]: r for r in rows}
         part = entry = 0
         previous = None
         while True:
-            i = places[(part, entry)]
-            if carried[i] == carried[i]:
-                previous = carried[i]
-            if exits[i] < 0 or exits[i] != exits[i]:
+            _, _, leaves_at, best, best_step, carried, rest, stop = places[part, entry]
+            if carried is not None:
+                previous = carried
+            if leaves_at is None:
                 break
-            part, entry = part + 1, int(exits[i])
-        row = rows.iloc[i]
-        stop = row["stop_step"]
-        return pd.DataFrame(
-            {
-                run: [key[0]],
-                "best_value": [row["best_value"]],
-                "best_step": [row["best_step"]],
-                "previous_best": pd.array([previous], "Float64"),
-                "counter": [row["rest"]],
-                "stop_step": pd.array([None if pd.isna(stop) else int(stop)], "Int64"),
-            }
-        )
+            part, entry = part + 1, leaves_at
+        yield best, best_step, previous, rest, stop
 
     layout = _PART.format(run=run, run_type=run_type)
     position = F.col("_rank") - 1
@@ -159,14 +188,10 @@ def _followed_stops(
     spread = ranked.select(
         run, "_step", "_value", "_rank", F.explode(F.array_compact(F.array(own, lent))).alias("part")
     )
-    final = (
-        spread.groupBy(run, "part")
-        .applyInPandas(follow_chunk, layout)
-        .groupBy(run)
-        .applyInPandas(follow_run, _FINAL.format(run=run, run_type=run_type))
-    )
-    # pandas hands a NaN over as null; a best value is never missing otherwise.
-    return final.withColumn("best_value", F.coalesce("best_value", F.lit(float("nan"))))
+    chunks = spread.select(run, "part", "_rank", "_step", F.col("_value").cast("double"))
+    found = _by_group(chunks, (run, "part"), ("_rank",), follow_chunks, layout)
+    final = _by_group(found, (run,), ("part", "entry"), follow_run, _FINAL.format(run=run, run_type=run_type))
+    return final
 
 
 def early_stop(

@@ -144,3 +144,31 @@ def test_log_lines(spark):
     }
     assert L.thin_log(df, 30).count() == 3
     assert df.select(format_log("step", "logs")).where("step = 60").first()[0] is None
+
+
+def test_threshold_follows_many_runs_in_a_batch(spark):
+    """Runs and chunks of every length, cut by small batches; no call of pandas for each group."""
+    from pairprep.operators.runlog import early_stop
+
+    rows = [(r, 300 * (i + 1), float((i * 7 + r * 5) % 11) / 4) for r in range(40) for i in range(1 + r * 3 % 50)]
+    df = spark.createDataFrame(rows, "run_id long, step long, eval_loss double")
+    wanted = sorted(map(str, early_stop(df, 3, 0.3).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        small = early_stop(df, 3, 0.3, chunk_rows=4)
+        assert sorted(map(str, small.collect())) == wanted and len(wanted) == 40
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for run in (0, 7, 33):
+        best = best_at = previous = stop = None
+        counter = 0
+        for step, value in ((s, v) for r, s, v in rows if r == run):
+            if best is None or value < best - 0.3:
+                best, best_at, previous, counter = value, step, best, 0
+            elif (counter := counter + 1) == 3:
+                stop = step
+                break
+        got = next(r for r in small.collect() if r.run_id == run)
+        assert (got.best_value, got.best_step, got.previous_best, got.counter, got.stop_step) == (best, best_at, previous, counter, stop)
