@@ -89,6 +89,7 @@ _STATE = (
 
 def _advance_run(patience: int, threshold: float):
     """Function of a run's key, new rows and stored state, for `applyInPandasWithState`."""
+    columns = ["_run", *(c.split()[0] for c in _STATE.split(", "))]
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         import numpy as np
@@ -116,10 +117,10 @@ def _advance_run(patience: int, threshold: float):
                     break
         row = (best, best_step, previous, counter, stop, last, late)
         state.update(row)
-        columns = [c.split() for c in _STATE.split(", ")]
-        kinds = {name: {"double": "Float64", "long": "Int64", "int": "Int32"}[kind] for name, kind in columns}
-        made = {name: pd.array([value], kinds[name]) for (name, _), value in zip(columns, row)}
-        yield pd.DataFrame({"_run": [key[0]]} | made)
+        # One block of objects: a typed column each would cost more than following the run.
+        made = np.empty((1, len(columns)), object)
+        made[0] = key[0], *row
+        yield pd.DataFrame(made, columns=columns, copy=False)
 
     return advance
 

@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pairprep.operators.cleaning import clean_pairs
 from pairprep.operators.runlog import early_stop
 from pairprep.streaming.cleaning import clean_pairs_stream, write_pairs_stream
-from pairprep.streaming.runlog import advance_stops, early_stop_stream, latest_states
+from pairprep.streaming.runlog import _advance_run, advance_stops, early_stop_stream, latest_states
 
 LOG = "run_id long, step long, eval_loss double"
 
@@ -91,3 +93,26 @@ def test_a_trigger_writes_changed_runs_only(spark, tmp_path):
     assert len(found) == 41 and (found[3].best_value, found[3].previous_best, found[3].stop_step) == (1.0, 2.0, None)
     assert (found[7].stop_step, found[7].counter, found[7].late_rows) == (600, 1, 1)
     assert found[None].best_value == 5.0
+
+
+def test_a_run_costs_no_typed_column_each():
+    class State:
+        exists = False
+
+        def update(self, row):
+            self.exists, self.get = True, row
+
+    frame = pd.DataFrame({"step": [600, 300], "value": [1.0, 2.0]})
+    (made,) = _advance_run(3, 0.0)((7,), iter([frame]), State())
+    assert made.iloc[0].tolist() == [7, 1.0, 600, 2.0, 0, None, 600, 0]
+    assert set(made.dtypes) == {np.dtype(object)}
+
+
+def test_long_run_ids_beside_a_missing_one(spark, tmp_path):
+    ids = [2**60 + 1, None, 2**60 + 3, 5]
+    log = spark.createDataFrame([(run, 300 * s, 1.0 / s) for run in ids for s in (1, 2)], LOG)
+    log.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(LOG).parquet(str(tmp_path / "in"))
+    early_stop_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    got = {r.run_id: r.best_value for r in latest_states(spark, str(tmp_path / "out")).collect()}
+    assert got == dict.fromkeys(ids, 0.5)
