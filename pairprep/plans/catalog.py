@@ -322,10 +322,9 @@ def subword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a vocabulary that takes several blocks."""
-    coded = encode(
-        views.documents(spark, sf_dir), _vocab(spark, sf_dir), "text", max_length=None, block_bytes=SMALL_BLOCK
-    )
-    return coded.select("doc_id", _csv("ids").alias("ids"))
+    docs = views.documents(spark, sf_dir)
+    coded = encode(docs, _vocab(spark, sf_dir), "text", "text", max_length=None, block_bytes=SMALL_BLOCK)
+    return coded.select("doc_id", _csv("text").alias("ids"))
 
 
 def decode_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
+import random
 import re
 
 import pytest
 from pairprep import constants as C
 from pairprep.functions import tokens as K
 from pairprep.operators.tokenizing import token_stats, tokenize_pairs, tokenize_pairs_with
-from pairprep.operators.vocabulary import build_vocab, decode, encode, token_counts
+from pairprep.operators.vocabulary import ROW_BYTES, _blocks, build_vocab, decode, encode, lookup_ids, token_counts
+from pairprep.sources import scratch
 from pyspark.sql import functions as F
 
 PAIRS = [
@@ -159,3 +161,33 @@ def test_label_scalars(spark):
         3: (0, False, [], []),
         4: (0, True, [7, 8], []),
     }
+
+
+def test_later_blocks_see_only_items_that_are_still_open(spark, tmp_path):
+    """Frequent tokens are in the first block and strangers in none; other columns stay, nulls too."""
+    words = [chr(97 + i % 26) * (1 + i // 26) for i in range(120)]
+    vocab = spark.createDataFrame([(w, i + 2) for i, w in enumerate(words)], "token string, id int")
+    ids = {w: i + 2 for i, w in enumerate(words)}
+    rng = random.Random(3)
+    rows = [(i, None if i % 11 == 5 else [rng.choice([*words, *words[:3] * 90, "?!", None]) for _ in range(i % 70)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "pair_id long, tokens array<string>").repartition(3)
+    before = len(scratch._made)
+    got = {r.pair_id: r.ids for r in lookup_ids(df, vocab, "tokens", "ids", 3000).collect()}
+    assert got == {i: None if t is None else [ids.get(x, 1) for x in t] for i, t in rows}
+    stages = [spark.read.parquet(p).select("tokens.*").collect() for p in scratch._made[before:]]
+    assert len(stages) >= 2
+    for found in stages:
+        flat = [x for r in found for x in r.rest or ()]
+        assert "?!" not in flat and not {"a", "b", "c"} & set(flat)
+    assert sum(len(r.rest or ()) for r in stages[-1]) < sum(len(r.rest or ()) for r in stages[0])
+    texts = spark.createDataFrame([(i, t and [ids.get(x, 1) for x in t]) for i, t in rows], "pair_id long, ids array<int>")
+    said = {r.pair_id: r["text"] for r in decode(texts, vocab, "ids", block_bytes=3000).collect()}
+    assert said == {i: None if t is None else "".join(x for x in t if x in ids) for i, t in rows}
+
+
+def test_ids_far_apart_make_bounded_blocks(spark):
+    vocab = spark.createDataFrame([(str(i) * 9, i) for i in range(-50, 50)] + [("z" * 99, 2**31 - 1)], "token string, id int")
+    rows = spark.createDataFrame([(1, [str(7) * 9, "z" * 99, str(-3) * 9, "y"])], "pair_id long, tokens array<string>")
+    assert lookup_ids(rows, vocab, "tokens", "ids", 900).first().ids == [7, 2**31 - 1, -3, 1]
+    sizes = [sum(len(t) + ROW_BYTES for t in table) for table, _ in _blocks(vocab, "token", 900)]
+    assert len(sizes) > 8 and max(sizes) < 2700
