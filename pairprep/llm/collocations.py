@@ -45,6 +45,7 @@ CHUNK = 4_000_000
 COUNTS = 2_000_000
 BITS = 1 << 27
 BITMAP_BITS = 1 << 15  # of one group of Spark's bitmap_construct_agg
+SLICES = 8  # in which a bitmap reaches the driver
 BLOCK = 1_000_000
 BLOCK_BYTES = 64_000_000
 SALTS = 64
@@ -156,7 +157,11 @@ def _bit_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmap_of(hashes: DataFrame) -> np.ndarray:
-    """BITS bits with those of every hash set, put together in groups by Spark."""
+    """BITS bits with those of every hash set, put together in groups by Spark.
+
+    The driver fetches a partition a job, so the groups, at most BITS / 8 bytes, are dealt out to SLICES
+    partitions first: else there are as many jobs as shuffle partitions, and it keeps notes on each.
+    """
     low, high = F.col("hash"), F.shiftrightunsigned("hash", 32)
     places = [h.bitwiseAND(F.lit(BITS - 1).cast("long")) + 1 for h in (low, high)]  # Spark's first bit is 1
     at = hashes.select(F.explode(F.array(*places)).alias("at"))
@@ -165,7 +170,7 @@ def bitmap_of(hashes: DataFrame) -> np.ndarray:
     )
     whole = np.zeros(BITS // 8, np.uint8)
     size = BITMAP_BITS // 8
-    for row in groups.toLocalIterator():
+    for row in groups.repartition(SLICES).toLocalIterator():
         whole[(row.part - 1) * size : row.part * size] = np.frombuffer(row.bits, np.uint8)
     return whole
 

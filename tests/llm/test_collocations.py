@@ -140,6 +140,28 @@ def test_bitmap_loses_no_hash(spark):
     assert K.in_bitmap(bits, others).sum() < 5
 
 
+def test_bitmap_reaches_the_driver_in_few_jobs(spark, monkeypatch):
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS hash")
+    fetched, fetch = [], type(rows).toLocalIterator
+
+    def counted(df, *args):
+        fetched.append(df.rdd.getNumPartitions())  # a job for each
+        return fetch(df, *args)
+
+    monkeypatch.setattr(type(rows), "toLocalIterator", counted)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        bits = K.bitmap_of(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert fetched == [K.SLICES] and K.SLICES < 40
+    assert K.in_bitmap(bits, np.array([r.hash for r in rows.collect()]).view(np.uint64)).all()
+
+
 def test_long_words_make_more_blocks(spark, monkeypatch):
     monkeypatch.setattr(K, "BLOCK_BYTES", 5_000)
     rows = [("en", f"{'x' * 3000} {'y' * 3000} z. " * 12 + f"a b c{i}. " * 11) for i in range(3)]

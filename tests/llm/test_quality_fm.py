@@ -52,3 +52,18 @@ def test_small_and_empty_inputs(spark, docs):
     assert all(abs(r.score - 0.5) < 0.3 for r in unfitted)
     assert Q.keep_good(table.limit(0), labels).count() == 0
     assert Q.keep_good(table, labels).columns == table.columns
+
+
+def test_the_driver_holds_features_as_numbers(spark, docs, monkeypatch):
+    texts = [(i, f"some words {i} " * (i % 4)) for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "train", lambda rows, _: seen.extend(rows))
+    Q.fit(docs(texts), labels)
+    ids = sorted(r.doc_id for r in labels.where(~Q.held_out()).collect())
+    assert len(seen) == len(ids)
+    for (places, values), i in zip(seen, ids):
+        right = Q.features(texts[i][1], len(texts[i][1]))
+        assert (places == right[0]).all() and (values == right[1]).all()
+        # Views of what Spark sent, not copies made from Python lists.
+        assert not places.flags.owndata and not values.flags.owndata
