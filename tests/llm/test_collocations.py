@@ -167,3 +167,45 @@ def test_long_words_make_more_blocks(spark, monkeypatch):
     rows = [("en", f"{'x' * 3000} {'y' * 3000} z. " * 12 + f"a b c{i}. " * 11) for i in range(3)]
     got = K.collocations(spark.createDataFrame(rows, "lang string, text string")).collect()
     assert {tuple(r) for r in got} == brute(rows, 10, 2000)
+
+
+@pytest.mark.parametrize("settings, passes", [({}, 1), ({"PASS_BYTES": 1}, 2), ({"WORDS": 1}, 3)])
+def test_texts_are_read_once_for_many_tries(spark, monkeypatch, settings, passes):
+    for name, value in settings.items():
+        monkeypatch.setattr(K, name, value)
+    made, staged = [], K.stage
+    monkeypatch.setattr(K, "stage", lambda df, name: made.append(name) or staged(df, name))
+    rows = [(lang, "a b c. d e f. a c d. b e. e c " * 5) for lang in ("en", "fr")]
+    phrases = {(lang, p) for lang in ("en", "fr") for p in ("a", "b", "c", "d", "e", "f", "a b", "a b c", "d e f", "b e", "a e", "c d")}
+    counts = K.count_phrases(
+        spark.createDataFrame(rows, "lang string, text string"), spark.createDataFrame(sorted(phrases), "lang string, phrase string"), 3, 8
+    )
+    expected = Counter(
+        (lang, " ".join(w[i : i + k])) for lang, text in rows for w in pieces(text) for k in (1, 2, 3) for i in range(len(w) - k + 1)
+    )
+    assert {(r.lang, r.phrase): r.n for r in counts.collect()} == {p: expected[p] for p in phrases if expected[p]}
+    assert made.count("phrase-counts") == passes
+
+
+def test_words_with_one_hash_are_kept_apart(monkeypatch):
+    hashes = K.word_hashes
+    monkeypatch.setattr(K, "word_hashes", lambda words, seed: hashes(words, seed) % np.uint64(40 if seed < 8 else 1000))
+    languages, words = pa.array(["a"] * 20 + ["b"] * 20), pa.array([f"w{i}" for i in range(20)] * 2)
+    known = K.vocabulary_of(languages, words, np.arange(40))
+    assert known.seed >= 8 and sorted(known.numbers.tolist()) == list(range(40))
+    asked = pa.array([f"w{i}".encode() for i in range(300)], pa.large_binary())
+    a, b = known.numbers_of("a", asked), known.numbers_of("b", asked)
+    assert a[:20].tolist() == list(range(19, -1, -1)) and b[:20].tolist() == list(range(39, 19, -1))
+    assert (a[20:] == 40).all() and (b[20:] == 40).all() and (known.numbers_of("c", asked) == 40).all()
+
+
+def test_word_hashes_differ():
+    words = pa.array([b"", b"a", b"b", b"ab", b"ba", b"aa", b"aaa", b"\x00", b"\x00\x00"] + [f"{i}".encode() for i in range(5000)], pa.large_binary())
+    hashes = K.word_hashes(words, 7)
+    assert len(set(hashes.tolist())) == len(words) and not set(hashes.tolist()) & set(K.word_hashes(words, 8).tolist())
+    assert K.word_hashes(words.slice(3), 7).tolist() == hashes[3:].tolist() and len(K.word_hashes(words[:0], 7)) == 0
+
+
+def test_bitmaps_grow_with_their_hashes():
+    assert K.bits_for(0) == K.bits_for(1_000_000) == K.BITS and K.bits_for(1 << 40) == K.MOST_BITS
+    assert K.bits_for(K.BITS // K.HASH_BITS + 1) == 2 * K.BITS
