@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pairprep import constants as C
+from pairprep.sources import patches
 
 
 def load_pairs(
@@ -33,7 +34,13 @@ def split_inventory(df: DataFrame, split: str = C.SPLIT) -> DataFrame:
 
 
 def read_patches(spark: SparkSession, path: str) -> DataFrame:
-    """One row per diff file below a folder (path, diff), decoded as UTF-8; an empty file has none."""
+    """One row per diff file below a folder (path, diff), decoded as UTF-8; an empty file has none.
+
+    Spark's own reader lets the driver list every file and puts a few of them in a task, so it is left
+    for what `read_whole` does not take."""
+    found = patches.read_whole(spark, path)
+    if found is not None:
+        return found.withColumnRenamed("value", C.DIFF)
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(path, wholetext=True)

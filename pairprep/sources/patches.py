@@ -8,10 +8,14 @@ or several small ones, as Spark deals its own files, and holds no more than a bl
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -24,6 +28,8 @@ SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 4 << 20
 # What opening a file counts for, in bytes.
 OPEN_BYTES = 64 << 10
+# Files that Spark's reader takes apart by their name.
+PACKED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst", ".passthrough")
 # Files that `write_patches` puts in a folder, and the key in their path.
 FOLDER_FILES = 4096
 FILE_NAME = r"/(-?[0-9]+)-[0-9]+-[0-9]+\.patch$"
@@ -175,3 +181,120 @@ def read_patch_sections(spark: SparkSession, path: str, split_bytes: int = SPLIT
     uri = _uri(path)
     tasks = spark.sparkContext.defaultParallelism
     return spark.read.format("patches").options(splitBytes=split_bytes, tasks=tasks).load(uri)
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers leave out."""
+    return name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def _listed(uri: str, folder: str):
+    """What is in a folder, by its path below the root."""
+    from pyarrow import fs
+
+    where, root = fs.FileSystem.from_uri(uri)
+    found = where.get_file_info(fs.FileSelector(f"{root}/{folder}" if folder else root))
+    return [(f"{folder}/{f.base_name}" if folder else f.base_name, f) for f in found if not _hidden(f.base_name)]
+
+
+def _folders(spark: SparkSession, uri: str) -> tuple[list[str], int, int, bool]:
+    """All folders, how many files they have, what reading those costs, and whether any is packed. Tasks
+    list the folders, a level at a time; only folders reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                here = _listed(uri, folder)
+                files = [(name, f.size) for name, f in here if f.is_file and f.size]
+                rows = [(name, 0, 0, False) for name, f in here if not f.is_file]
+                packed = any(name.endswith(PACKED) for name, _ in files)
+                rows.append((None, len(files), sum(size + OPEN_BYTES for _, size in files), packed))
+                names = ["folder", "files", "cost", "packed"]
+                types = [pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    found, level, files, cost, packed = [], [""], 0, 0, False
+    while level:
+        found += level
+        rows = _dealt_folders(spark, level).mapInArrow(run, "folder string, files long, cost long, packed boolean")
+        summed = rows.groupBy("folder").agg(F.sum("files").alias("files"), F.sum("cost").alias("cost"), F.max("packed").alias("packed"))
+        level = []
+        for row in summed.collect():
+            if row.folder is None:
+                files, cost, packed = files + row.files, cost + row.cost, packed or row.packed
+            else:
+                level.append(row.folder)
+    return found, files, cost, packed
+
+
+def _dealt_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
+    tasks = min(len(folders), 4 * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame(pa.table({"folder": pa.array(folders, pa.string())})).repartition(tasks)
+
+
+def _as_uri(path: str) -> str:
+    """A path as Java writes it in a URI: letters of all languages stay."""
+
+    def escaped(found: re.Match) -> str:
+        c = found.group()
+        return quote(c, safe="") if c < "\x80" or unicodedata.category(c) in ("Cc", "Zs", "Zl", "Zp") else c
+
+    return re.sub(r"[^A-Za-z0-9_\-!.~'()*,;:$&+=@/]", escaped, path)
+
+
+def read_whole(spark: SparkSession, path: str) -> DataFrame | None:
+    """(path, value) of all files below a folder that are not empty, or None where Spark has to read them:
+    where pyarrow knows no folder there, or a file is packed.
+
+    Tasks list the folders and then deal the files out, so the driver does not know them."""
+    from pyarrow import fs
+
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri()
+    except Py4JJavaError:
+        return None
+    uri, shown = re.sub("^file:/+", "file:///", full.toASCIIString()), re.sub("^file:/+", "file:/", full.toString()).rstrip("/")
+    try:
+        where, root = fs.FileSystem.from_uri(uri)
+        if where.get_file_info(root).type != fs.FileType.Directory:
+            return None
+    except (pa.ArrowException, OSError, ImportError):
+        return None
+    folders, files, cost, packed = _folders(spark, uri)
+    if packed:
+        return None
+    bounded_batches(spark)
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = [name for name, f in _listed(uri, folder) if f.is_file and f.size]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["name"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        where, root = fs.FileSystem.from_uri(uri)
+        paths, texts, held = [], [], 0
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with where.open_input_stream(f"{root}/{name}", compression=None) as file:
+                    texts.append(file.read())
+                paths.append(f"{shown}/{_as_uri(name)}")
+                held += len(texts[-1])
+                if held >= BLOCK_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], ["path", "value"])
+                    paths, texts, held = [], [], 0
+        if paths:
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], ["path", "value"])
+
+    tasks = max(min(files, max(spark.sparkContext.defaultParallelism, -(-cost // SPLIT_BYTES))), 1)
+    dealt = _dealt_folders(spark, folders).mapInArrow(names, "name string").repartition(tasks)
+    found = dealt.mapInArrow(read, "path string, value binary")
+    return found.select("path", F.col("value").cast("string").alias("value"))

@@ -1,3 +1,4 @@
+import gzip
 import random
 import re
 
@@ -121,3 +122,34 @@ def test_files_share_their_folders(spark, tmp_path, query, monkeypatch):
     assert query(spark, str(tmp_path)).count() >= 250
     folders = [p for p in tmp_path.glob("patch*/**/") if p.is_dir()]
     assert 2 <= len(folders) <= 2 + 8
+
+
+def as_spark_reads(spark, path):
+    rows = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return sorted(rows.select("_metadata.file_path", F.hex("value")).collect())
+
+
+def test_whole_files_are_those_that_spark_reads(spark, tmp_path):
+    root = tmp_path / "a dir%41 é"
+    names = ["a b.txt", "p%20q.txt", "é\u00a0字#?;[1].txt", "_k=1/z.txt", "sub +x/t&=~'\".txt", "sub +x/_h/n.txt", "_x", ".y"]
+    names += ["c._COPYING_", "tab\tq{}|^`<>@,!$*().txt", "100%.txt", "deep/er/_k/_l=2/x", "deep/er/z"]
+    for i, name in enumerate(names):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"x\xff\xef\xbb\xbf\r\n\x00" * i)
+    (root / "no files").mkdir()
+    for path in (str(root), f"file://{root}/", f"{root}/deep", f"{root}/no files"):
+        got = read_patches(spark, path).select("path", F.hex("diff"))
+        assert sorted(got.collect()) == as_spark_reads(spark, path)
+    (root / "deep" / "packed.gz").write_bytes(gzip.compress(b"packed"))
+    for path in (str(root), f"{root}/deep/er/z", f"{root}/deep/*"):
+        assert sorted(read_patches(spark, path).select("path", F.hex("diff")).collect()) == as_spark_reads(spark, path)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"f{i % 7}").mkdir(exist_ok=True)
+        (tmp_path / f"f{i % 7}" / f"{i}.patch").write_text(f"text {i}")
+    rows = read_patches(spark, str(tmp_path))
+    assert sorted(r.diff for r in rows.collect()) == sorted(f"text {i}" for i in range(300))
+    assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert "FileScan" not in rows._jdf.queryExecution().executedPlan().toString()
