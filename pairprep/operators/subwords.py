@@ -4,7 +4,8 @@ The file is one that the `tokenizers` library reads, at a path that every task c
 an installed package, on shared storage, or sent along with `SparkContext.addFile` and given by its
 name. Nothing is learned here. A task reads the file once; texts go in slices of bounded bytes to the
 library, which works on many rows at a time, remembers the words that it has split, and holds some
-hundred bytes for every token until the rows are done.
+hundred bytes for every token until the rows are done. It works on them one after the other, on the
+core that the task has, unless TOKENIZERS_PARALLELISM is set.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ def vocabulary(path: str):
     """The vocabulary of a file; special strings in a text are ordinary text to it."""
     from tokenizers import Tokenizer as FromFile
 
+    # With threads of its own in every task, a full executor spends its cores on their waiting.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     found = FromFile.from_file(path if os.path.exists(path) else SparkFiles.get(path))
     found.encode_special_tokens = True
     return found
@@ -70,6 +73,21 @@ def encode_subwords(
     return coded if max_length is None else coded.withColumn(out, truncate(out, max_length))
 
 
+def _known_ids(lists: pa.Array, size: int) -> list[list[int]]:
+    """The ids from 0 to size - 1 of each list that is not null."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = lists.drop_null()
+    ids = pc.list_flatten(lists).cast(pa.int64())
+    known = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, size)), False)
+    owners = pc.list_parent_indices(lists).filter(known).to_numpy()
+    ends = np.cumsum(np.bincount(owners, minlength=len(lists))).tolist()
+    kept = ids.filter(known).to_numpy().tolist()
+    return [kept[start:end] for start, end in zip([0, *ends], ends)]
+
+
 def decode_subwords(df: DataFrame, path: str, ids: str, out: str = "text", skip_special: bool = True) -> DataFrame:
     """Ids to text; special ids are dropped when skip_special. Ids that are null, negative or beyond the
     vocabulary are nothing; a null array stays null. Bytes that make no character become U+FFFD."""
@@ -82,10 +100,8 @@ def decode_subwords(df: DataFrame, path: str, ids: str, out: str = "text", skip_
         size = words.get_vocab_size()
         for batch in batches:
             for (lists,) in slices(batch):
-                rows = lists.to_pylist()
-                known = [[i for i in r if i is not None and 0 <= i < size] for r in rows if r is not None]
-                made = iter(words.decode_batch(known, skip_special_tokens=skip_special))
-                yield pa.array([None if r is None else next(made) for r in rows], pa.string())
+                made = iter(words.decode_batch(_known_ids(lists, size), skip_special_tokens=skip_special))
+                yield pa.array([next(made) if present else None for present in lists.is_valid().to_pylist()], pa.string())
 
     bounded_batches(df.sparkSession)
     return df.withColumn(out, text_of.asNondeterministic()(ids))

@@ -1,7 +1,10 @@
 """Sub-word ids against merges applied by rank in plain Python, and round trips."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pairprep import constants as C
@@ -59,6 +62,33 @@ def test_unknown_ids_are_nothing(spark):
     assert decode_subwords(df, FILE, "ids", skip_special=False).first().text == "word<|endoftext|>"
 
 
+def test_ids_are_kept_row_by_row(spark):
+    word = vocabulary(FILE).encode("word", add_special_tokens=False).ids
+    lists = [None, [], [-1, None], word, None, [None, *word, 1 << 30, *word], [-5], word]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, ids array<int>").coalesce(1)
+    back = {r.i: r.text for r in decode_subwords(df, FILE, "ids").collect()}
+    assert back == dict(enumerate([None, "", "", "word", None, "wordword", "", "word"]))
+    empty = spark.sql("SELECT array(null) AS ids UNION ALL SELECT null")
+    assert {r.text for r in decode_subwords(empty, FILE, "ids").collect()} == {"", None}
+
+
+def test_a_task_works_on_one_core():
+    """Encoding and decoding in batches start no threads of the library's own."""
+    code = f"""
+import os, numpy, pyarrow, tokenizers
+from pairprep.operators.subwords import subword_tokenizer, vocabulary
+words, threads = vocabulary({FILE!r}), lambda: len(os.listdir("/proc/self/task"))
+before = threads()
+ids = subword_tokenizer({FILE!r})()(["some words"] * 100)
+assert words.decode_batch(ids) == ["some words"] * 100
+print(threads() - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, check=True)
+    assert run.stdout.strip() == "0"
+
+
 def test_file_sent_along(spark, tmp_path):
     (tmp_path / "sent-vocabulary.json").write_bytes(open(FILE, "rb").read())
     spark.sparkContext.addFile(str(tmp_path / "sent-vocabulary.json"))
