@@ -172,3 +172,58 @@ def test_threshold_follows_many_runs_in_a_batch(spark):
                 break
         got = next(r for r in small.collect() if r.run_id == run)
         assert (got.best_value, got.best_step, got.previous_best, got.counter, got.stop_step) == (best, best_at, previous, counter, stop)
+
+
+@pytest.mark.parametrize("threshold, lower", [(0.0, False), (0.4, True), (-0.2, True)])
+@pytest.mark.parametrize("patience, chunk_steps, chunk_rows", [(7, 700, 2), (4, 1, 50)])
+def test_chunks_shorter_and_longer_than_the_patience(spark, lower, threshold, patience, chunk_steps, chunk_rows):
+    """Improvements and stops on both sides of chunks; rows without a run count nowhere."""
+    runs = make_runs(patience)
+    runs[45] = [(300, math.nan)] + [(300 * i, 9.0 - i) for i in range(2, 12)]
+    runs[46] = [(300 * i, math.nan if i % 4 else 50.0 - i) for i in range(1, 90)]
+    sign = 1 if lower else -1
+    rows = [(r, s, None if v is None else sign * v) for r, evals in runs.items() for s, v in evals]
+    log = spark.createDataFrame(rows + [(None, 300, -99.0 * sign)], SCHEMA).repartition(3)
+    got = L.early_stop(log, patience, threshold, lower_is_better=lower, chunk_steps=chunk_steps, chunk_rows=chunk_rows)
+    found = {r.run_id: tuple(r)[1:] for r in got.collect()}
+    replayed = {r: replay([x[1:] for x in rows if x[0] == r], patience, threshold, lower) for r in runs}
+    expected = {r: state for r, state in replayed.items() if state is not None}
+    assert found.keys() == expected.keys()
+    for run in expected:
+        assert same(found[run], expected[run]), (run, found[run], expected[run])
+
+
+def test_threshold_leaves_out_rows_without_a_step(spark):
+    rows = [(1, None, -99.0), (1, 300, 2.0), (1, 600, 1.0), (2, None, 5.0), (None, 300, 1.0)]
+    got = L.early_stop(spark.createDataFrame(rows, SCHEMA), 3, 0.5)
+    assert [tuple(r) for r in got.collect()] == [(1, 1.0, 600, 2.0, 0, None)]
+
+
+def test_threshold_follows_runs_over_batches(spark):
+    """A run's entries lie in many batches, and its key is of any type."""
+    rows = [(r, 300 * (i + 1), float((i * 7 + r * 5) % 11) + 99 * (i < 40) - i) for r in range(6) for i in range(60)]
+    expected = {r: replay([x[1:] for x in rows if x[0] == r], 3, 0.5, True) for r in range(6)}
+    df = spark.createDataFrame(rows, "run long, step long, eval_loss double")
+    key = "CASE run WHEN 0 THEN double('nan') ELSE run END AS run_id"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        for kind in (key, "timestamp_seconds(run) AS run_id", "date_add(DATE'2024-01-01', int(run)) AS run_id"):
+            log = df.selectExpr(kind, "step", "eval_loss")
+            got = L.early_stop(log, 3, 0.5, chunk_steps=600, chunk_rows=2)
+            assert got.schema["run_id"].dataType == log.schema["run_id"].dataType
+            assert sorted(tuple(r)[1:] for r in got.collect()) == sorted(expected.values())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def exchanges(df):
+    """The columns by which the plan deals rows out, one for each exchange that is not used again."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_threshold_deals_the_log_out_once(spark):
+    log = spark.range(900).selectExpr("id % 7 AS run_id", "300 * id AS step", "double(id % 13) AS eval_loss")
+    stops = L.early_stop(log, threshold=0.25)
+    assert exchanges(stops) == ["run_id", "run_id"]
+    assert stops._jdf.queryExecution().executedPlan().toString().count("Range (0, 900") == 1
