@@ -227,3 +227,21 @@ def test_threshold_deals_the_log_out_once(spark):
     stops = L.early_stop(log, threshold=0.25)
     assert exchanges(stops) == ["run_id", "run_id"]
     assert stops._jdf.queryExecution().executedPlan().toString().count("Range (0, 900") == 1
+
+
+def test_log_is_dealt_out_once_for_ranks_too(spark):
+    """The summary of the chunks and the rows read one exchange; no second copy of the rows moves."""
+    log = spark.range(9000).selectExpr("id % 7 AS run_id", "300 * id AS step", "double(id % 13) AS eval_loss")
+    stops = L.early_stop(log)
+    assert stops.count() == len(stops.collect()) == 7
+    plan = stops._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "== Final Plan ==" in plan and plan.count("Range (0, 9000") == 1 and "ReusedExchange" in plan
+    assert "Generate explode" not in plan
+
+
+def test_rows_without_a_step_come_first(spark):
+    """Without a threshold they count as evaluations before all others, but none of them is a best one."""
+    rows = [(1, None, 5.0), (1, 300, 7.0), (1, 600, 4.0), (1, 900, 6.0), (1, 1200, 6.0)]
+    rows += [(2, None, -9.0), (2, 300, 1.0), (3, None, 1.0), (None, 300, 1.0)]
+    got = L.early_stop(spark.createDataFrame(rows, SCHEMA), 2)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 4.0, 600, 5.0, 2, 1200), (2, None, None, None, None, None)]
