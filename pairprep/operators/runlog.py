early_stop_higher: a chunk's rows behind its first stop are told in the first sort

Symptom: on sf0.1 the largest task reported 52.6 MB of execution memory where 35.9 were enough before the exchange was shared.
Evidence: the few rows kept of a chunk were sorted once more to drop those behind its first stop, and a third sort in a task takes a page of its own, however few rows it holds.
Fix: rows behind a stop are counted in the order that the rows already have, before the join with the summary; the kept rows go to their run without that sort.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 222 -> 187 s, shuffle 0.69 -> 0.50 GB, spill 0.00 -> 0.00 GB, read 0.15 -> 0.15 GB, longest task 4 -> 4 s, most memory of a task 135 -> 101 MB; at 6 GB of input CPU 661 -> 511 s, shuffle 4.12 -> 2.87 GB, spill 0.00 -> 0.00 GB, read 1.03 -> 1.03 GB, longest task 9 -> 8 s, most memory of a task 336 -> 336 MB; with hot keys, at 1 GB of input CPU 234 -> 191 s, shuffle 0.59 -> 0.42 GB, spill 0.00 -> 0.00 GB, read 0.14 -> 0.14 GB, longest task 4 -> 4 s, most memory of a task 127 -> 101 MB.

@@ -30,8 +30,9 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int, patience: int) -> DataFr
     Adds _rank (from 1), _previous (best value before the row), _improved, and _n, the rows of the run.
     Of the row's _chunk it tells whether no row before is better than the earlier chunks (_carried),
     whether one of the next `patience` rows has a lower value (_passed) and the step of the last of
-    those (_ahead); _best_through is the last rank of the earlier chunk with the best value.
-    The rows stay dealt out by run and chunk.
+    those (_ahead); _best_through is the last rank of the earlier chunk with the best value. _late rows
+    come behind one that would stop its run: none of them is an improvement before the run's first stop.
+    _unplaced runs have rows without a step. The rows stay dealt out by run and chunk.
     """
     chunk = F.coalesce(F.floor(F.col("_step") / chunk_steps), F.lit(NO_STEP))
     # Dealt out once, for the summary and for the rows.
@@ -53,6 +54,7 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int, patience: int) -> DataFr
         best["_through"].alias("_best_through"),
         F.first("_first").over(earlier).alias("_run_first"),
         F.max("_through").over(Window.partitionBy(run)).alias("_n"),
+        (F.min("_chunk").over(Window.partitionBy(run)) == NO_STEP).alias("_unplaced"),
     )
     inside = Window.partitionBy(run, "_chunk").orderBy("_step", "_value")
     preceding = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -63,7 +65,11 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int, patience: int) -> DataFr
             "_next_low": F.min("_value").over(inside.rowsBetween(1, patience)),
             "_ahead": F.lead("_step", patience).over(inside),
         }
-    ).where(F.col("_step").isNotNull())
+    )
+    lowest = F.coalesce(F.col("_value") < F.col("_local_low"), F.lit(True))
+    passed = F.coalesce(F.col("_next_low") < F.col("_value"), F.lit(False))
+    stops = F.count_if(lowest & ~passed & F.col("_ahead").isNotNull()).over(preceding)
+    numbered = numbered.withColumn("_stops", stops).where(F.col("_step").isNotNull())
     # A comparison with NaN is never an improvement; Spark itself sorts NaN above every number.
     fixed = F.isnan("_run_first")
     better = (F.col("_value") < F.col("_previous")) & ~F.isnan("_value") & ~fixed
@@ -74,11 +80,13 @@ def _ranked(log: DataFrame, run: str, chunk_steps: int, patience: int) -> DataFr
                 "_rank": F.col("rows_before") + F.col("_local"),
                 "_previous": F.least("_low_before", "_local_low"),
                 "_carried": fixed | F.coalesce(F.col("_local_low") >= F.col("_low_before"), F.lit(True)),
-                "_passed": ~fixed & F.coalesce(F.col("_next_low") < F.col("_value"), F.lit(False)),
+                "_passed": ~fixed & passed,
+                # Rows without a step, which are no improvements, can take a run past such a row.
+                "_late": (F.col("_stops") > 0) & ~F.col("_unplaced"),
             }
         )
         .withColumn("_improved", F.coalesce((F.col("_rank") == 1) | better, F.lit(False)))
-        .drop("rows_before", "_local", "_local_low", "_next_low", "_low_before", "_run_first")
+        .drop("rows_before", "_local", "_local_low", "_next_low", "_low_before", "_run_first", "_stops")
     )
 
 
@@ -266,14 +274,15 @@ def _stop_state(ranked: DataFrame, run: str, patience: int, lower_is_better: boo
 
     Few rows go on to where a run is followed: an improvement after which the run stops in its chunk or
     that is the chunk's last, up to the first such stop; of a chunk's rows before its first improvement
-    those that can lie `patience` rows behind one of an earlier chunk; and the last row.
+    those that can lie `patience` rows behind one of an earlier chunk; and the last row of a run that may
+    have no improvement.
     """
     rank = F.col("_rank")
-    last_one = F.col("_improved") & ~F.col("_passed")
+    last_one = F.col("_improved") & ~F.col("_passed") & ~F.col("_late")
     waiting = ~F.col("_improved") & F.col("_carried") & (rank - F.col("_best_through") <= patience)
-    kept = ranked.where(last_one | waiting | (rank == F.col("_n"))).select(
+    unbettered = F.col("_unplaced") & (rank == F.col("_n"))
+    kept = ranked.where(last_one | waiting | unbettered).select(
         run,
-        "_chunk",
         "_rank",
         F.when(last_one, F.struct("_rank", "_step", "_value", "_previous")).alias("_last"),
         # Where a row says that its run stops, if the last improvement is that far back.
@@ -281,9 +290,6 @@ def _stop_state(ranked: DataFrame, run: str, patience: int, lower_is_better: boo
         F.when(last_one, F.col("_ahead")).otherwise(F.col("_step")).alias("_stop"),
         "_n",
     )
-    inside = Window.partitionBy(run, "_chunk").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
-    stopped = F.count_if(F.col("_last").isNotNull() & F.col("_stop").isNotNull()).over(inside)
-    kept = kept.withColumn("_stopped", stopped).where(F.col("_stopped") == 0).drop("_stopped", "_chunk")
     up_to = Window.partitionBy(run).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
     stops = F.col("_stop").isNotNull() & (F.col("_at") - F.col("_last._rank") == patience)
     ends = (
